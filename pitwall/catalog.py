@@ -421,3 +421,178 @@ ORACLE["sparse_columns"] = round_sql(
 
 def race_laps_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return race_laps(laps_of(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Step 4: collection - as-of weather, session dimension, records, grid
+# ---------------------------------------------------------------------------
+from pitwall.operators.joins import asof_nearest  # noqa: E402
+from pitwall.plans import collection as CL  # noqa: E402
+from pitwall.sources import io as IO  # noqa: E402
+from pitwall.sources.tables import read_table  # noqa: E402
+
+
+@register(
+    "asof_nearest",
+    round_sql(
+        """with p as (select event_id, user_id, ts from events where event_type = 'purchase'),
+v as (select event_id as view_id, user_id as v_user, ts as view_ts from events where event_type = 'view'),
+c as (select p.*, v.view_id, v.view_ts,
+        row_number() over (partition by p.event_id
+          order by abs(epoch_us(v.view_ts) - epoch_us(p.ts)), v.view_ts, v.view_id) as rn
+      from p left join v on p.user_id = v.v_user and p.ts is not null and v.view_ts is not null)
+select event_id, user_id, ts, view_id, view_ts,
+       cast(abs(epoch_us(view_ts) - epoch_us(ts)) as double) / 1000000 as asof_distance
+from c where rn = 1""",
+        ["asof_distance"],
+    ),
+)
+def q_asof_nearest(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    purchases = ev.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    views = ev.filter(F.col("event_type") == "view").select(
+        F.col("event_id").alias("view_id"), "user_id", F.col("ts").alias("view_ts")
+    )
+    return asof_nearest(
+        purchases, views, by=["user_id"], left_time="ts", right_time="view_ts",
+        right_id="view_id", bucket_width=86400.0,
+    )
+
+
+@register(
+    "accurate_laps",
+    round_sql(
+        f"with {FX.LAPS_CTE} select year, round, session_type, driver, lap_number, lap_time "
+        "from laps where coalesce(is_accurate, false)",
+        ["lap_time"],
+    ),
+)
+def q_accurate_laps(spark, sf_dir):
+    return CL.accurate_laps(laps_of(spark, sf_dir)).select(
+        "year", "round", "session_type", "driver", "lap_number", "lap_time"
+    )
+
+
+_EVENT_SQL = "concat(cast({a}.year as varchar), '-R', lpad(cast({a}.round as varchar), 2, '0'))"
+_RESULTS_SQL = (
+    "res as (select year, round, session_type, driver, arg_max(position, lap_number) "
+    "filter (where position is not null and lap_number is not null) as grid_position "
+    "from laps where session_type in ('R') and driver is not null "
+    "group by year, round, session_type, driver)"
+)
+_LAP_KEY_JOIN = (
+    "{a}.year = {b}.year and {a}.round = {b}.round and {a}.session_type = {b}.session_type "
+    "and {a}.driver = {b}.driver"
+)
+
+
+@register(
+    "session_dim",
+    round_sql(
+        f"""with {FX.LAPS_CTE}, {_RESULTS_SQL}
+select s.year, s.round, s.session_type, {_EVENT_SQL.format(a='s')} as event_name,
+       s.driver, su.s_name as driver_name, s.team, n.n_name as team_name, s.lap_number, res.grid_position
+from laps s left join res on {_LAP_KEY_JOIN.format(a='s', b='res')}
+left join supplier su on res.driver = su.s_suppkey
+left join nation n on s.team = n.n_nationkey
+where s.session_type in ('R')""",
+        ["grid_position"],
+    ),
+)
+def q_session_dim(spark, sf_dir):
+    return CL.session_dim(
+        laps_of(spark, sf_dir), read_table(spark, sf_dir, "supplier"), read_table(spark, sf_dir, "nation")
+    )
+
+
+_RECORD_DOUBLES = [
+    "lap_time", "grid_position", "position", "start_time", "weather_air_temp",
+    "weather_track_temp", "weather_humidity", "weather_wind_speed",
+]
+LAP_RECORDS_SQL = round_sql(
+    f"""with {FX.LAPS_CTE}, {FX.WEATHER_CTE}, {_RESULTS_SQL},
+acc as (select * from laps where session_type in ('R') and coalesce(is_accurate, false)),
+wd as (select * from (select *, row_number() over (partition by year, round, session_type, time
+         order by sample_id) as k from weather where time is not null) where k = 1),
+c as (select a.year, a.round, a.session_type, a.driver, a.team, a.lap_number, a.lap_time, a.position,
+        a.compound, a.track_status, a.start_time, wd.air_temp, wd.track_temp, wd.humidity,
+        wd.rainfall as w_rain, wd.wind_speed,
+        row_number() over (partition by a.year, a.round, a.session_type, a.driver, a.lap_number
+          order by abs(wd.time - a.start_time), wd.time, wd.sample_id) as rn
+      from acc a left join wd on a.year = wd.year and a.round = wd.round
+        and a.session_type = wd.session_type and a.start_time is not null)
+select c.year, c.round, c.session_type, {_EVENT_SQL.format(a='c')} as event_name, c.driver, c.team,
+       c.lap_number, c.lap_time, res.grid_position, c.position, c.compound, c.track_status, c.start_time,
+       c.air_temp as weather_air_temp, c.track_temp as weather_track_temp,
+       c.humidity as weather_humidity, c.w_rain as weather_rainfall, c.wind_speed as weather_wind_speed
+from c left join res on {_LAP_KEY_JOIN.format(a='c', b='res')}
+where rn = 1""",
+    _RECORD_DOUBLES,
+)
+
+
+def _records(spark, sf_dir) -> DataFrame:
+    return CL.lap_records(laps_of(spark, sf_dir), FX.weather_view(spark, sf_dir))
+
+
+@register("lap_records", LAP_RECORDS_SQL)
+def q_lap_records(spark, sf_dir):
+    return _records(spark, sf_dir)
+
+
+@register("scan_session_laps", LAP_RECORDS_SQL)
+def q_scan_session_laps(spark, sf_dir):
+    """Collected records written as CSV (the collector's sink) and read back
+    with the declared raw schema; malformed lines would go to the reject frame."""
+    path = IO.write_csv(_records(spark, sf_dir), IO.new_scratch(spark, "laps-csv"))
+    good, _rejects = IO.read_laps_csv(spark, path)
+    return good
+
+
+@register(
+    "season_grid",
+    round_sql(
+        f"with {FX.LAPS_CTE} select * exclude (lap_time_text, is_accurate) from laps "
+        "where session_type in ('R') and round between 1 and 23",
+        ["lap_time", "position", "start_time"],
+    ),
+)
+def q_season_grid(spark, sf_dir):
+    return CL.season_grid(laps_of(spark, sf_dir)).drop("lap_time_text", "is_accurate")
+
+
+@register(
+    "load_report",
+    f"""with {FX.LAPS_CTE},
+b as (select min(year) as y0, max(year) as y1 from laps),
+y as (select cast(unnest(range(y0, y1 + 1)) as int) as year from b),
+g as (select year, cast(unnest(range(1, 24)) as int) as round, 'R' as session_type from y),
+cnt as (select year, round, session_type, count(*) as n_laps from laps group by year, round, session_type)
+select g.year, g.round, g.session_type, coalesce(cnt.n_laps, 0) as n_laps,
+       coalesce(cnt.n_laps > 0, false) as loaded
+from g left join cnt on g.year = cnt.year and g.round = cnt.round and g.session_type = cnt.session_type""",
+)
+def q_load_report(spark, sf_dir):
+    return CL.load_report(laps_of(spark, sf_dir))
+
+
+@register("write_features", round_sql(f"with {FEATURE_CTES} select * from features", FEATURE_DOUBLES))
+def q_write_features(spark, sf_dir):
+    f = feature_table(spark, sf_dir)
+    path = IO.write_features(f, IO.new_scratch(spark, "features"))
+    return spark.read.parquet(path).select(*f.columns)
+
+
+@register(
+    "feature_scan",
+    round_sql(
+        f"with {FEATURE_CTES} select driver, year, season_avg_pos_delta from features",
+        ["season_avg_pos_delta"],
+    ),
+)
+def q_feature_scan(spark, sf_dir):
+    f = feature_table(spark, sf_dir)
+    path = IO.write_features(f, IO.new_scratch(spark, "features"))
+    return IO.feature_scan(
+        spark, path, ["driver", "year", "season_avg_pos_delta"], required="race_avg_lap"
+    )

@@ -43,7 +43,6 @@ def asof_nearest(
     by: list[str],
     left_time: str,
     right_time: str,
-    left_id: str,
     right_id: str,
     bucket_width: float | None = None,
 ) -> DataFrame:
