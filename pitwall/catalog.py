@@ -596,3 +596,283 @@ def q_feature_scan(spark, sf_dir):
     return IO.feature_scan(
         spark, path, ["driver", "year", "season_avg_pos_delta"], required="race_avg_lap"
     )
+
+
+# ---------------------------------------------------------------------------
+# Step 5: training frame - means, imputation, split, folds, lookups
+# ---------------------------------------------------------------------------
+from pitwall.operators import clean as C  # noqa: E402
+from pitwall.operators.rank import rank_final_position, rank_race_time  # noqa: E402
+from pitwall.operators.season import season_lookup  # noqa: E402
+from pitwall.plans import inference as INF  # noqa: E402
+from pitwall.plans import training as TR  # noqa: E402
+
+_PRERACE_LT = C.PRERACE_LAP_TIME
+_PRERACE_POS = C.PRERACE_POSITION
+_ALL_POS_FEATURES = [
+    c for c in FEATURE_COLUMNS if c not in C.ID_COLS and c != C.POSITION_TARGET
+]
+_KEYS = "year, round, driver, team"
+
+
+def _means_sql(cols: list[str], src: str = "features") -> str:
+    return " union all ".join(
+        f"select '{c}' as feature, avg(cast({c} as double)) as mean from {src}" for c in cols
+    )
+
+
+@register(
+    "column_means",
+    round_sql(f"with {FEATURE_CTES} {_means_sql(_PRERACE_LT)}", ["mean"]),
+)
+def q_column_means(spark, sf_dir):
+    m = TR.training_matrix(feature_table(spark, sf_dir), C.LAP_TIME_TARGET)
+    return C.column_means(m, _PRERACE_LT)
+
+
+@register(
+    "mean_impute",
+    round_sql(
+        f"with {FEATURE_CTES} select {_KEYS}, "
+        + ", ".join(f"coalesce(cast({c} as double), avg(cast({c} as double)) over (), 0.0) as {c}" for c in _PRERACE_LT)
+        + ", cast(race_avg_lap as double) as label from features",
+        [*_PRERACE_LT, "label"],
+    ),
+)
+def q_mean_impute(spark, sf_dir):
+    m = TR.training_matrix(feature_table(spark, sf_dir), C.LAP_TIME_TARGET)
+    return C.mean_impute(m, _PRERACE_LT)
+
+
+@register(
+    "training_matrix",
+    round_sql(
+        f"with {FEATURE_CTES} select {_KEYS}, "
+        + ", ".join(f"cast({c} as double) as {c}" for c in _ALL_POS_FEATURES)
+        + ", cast(start_grid - final_position as double) as label from features",
+        [*_ALL_POS_FEATURES, "label"],
+    ),
+)
+def q_training_matrix(spark, sf_dir):
+    return TR.training_matrix(feature_table(spark, sf_dir), C.POSITION_TARGET, feature_set="all")
+
+
+@register(
+    "target_profile",
+    round_sql(
+        f"with {FEATURE_CTES} select avg(start_grid - final_position) as target_mean, "
+        "stddev_samp(start_grid - final_position) as target_std from features",
+        ["target_mean", "target_std"],
+    ),
+)
+def q_target_profile(spark, sf_dir):
+    f = C.with_position_target(feature_table(spark, sf_dir))
+    return f.agg(
+        F.avg(C.POSITION_TARGET).alias("target_mean"),
+        F.stddev_samp(C.POSITION_TARGET).alias("target_std"),
+    )
+
+
+_MD5 = (
+    "md5(concat_ws('|', cast(year as varchar), cast(round as varchar), "
+    "cast(driver as varchar), cast(team as varchar), '42'))"
+)
+
+
+@register(
+    "holdout_split",
+    f"with {FEATURE_CTES} select {_KEYS}, substr({_MD5}, 1, 8) < '33333333' as is_test from features",
+)
+def q_holdout_split(spark, sf_dir):
+    f = feature_table(spark, sf_dir).select(*TR.ROW_KEYS)
+    return C.holdout_split(f, TR.ROW_KEYS)
+
+
+@register(
+    "cv_folds",
+    f"with {FEATURE_CTES} select {_KEYS}, cast(((strpos('0123456789abcdef', substr({_MD5}, 9, 1)) - 1) * 16 "
+    f"+ (strpos('0123456789abcdef', substr({_MD5}, 10, 1)) - 1)) % 5 as int) as fold from features",
+)
+def q_cv_folds(spark, sf_dir):
+    f = feature_table(spark, sf_dir).select(*TR.ROW_KEYS)
+    return C.cv_folds(f, TR.ROW_KEYS)
+
+
+LOOKUP_CTES = f"""{FEATURE_CTES},
+latest as (select * from features where year = (select max(year) from features)),
+lk as (select driver, avg(season_avg_pos_delta) as season_avg_pos_delta from latest
+       where driver is not null group by driver),
+fr as (select driver, race_finish_pct, driver_strength, team_strength from
+       (select *, row_number() over (partition by driver order by round, team) as rn from latest
+        where driver is not null) x where rn = 1),
+lookup as (select lk.driver, season_avg_pos_delta, race_finish_pct, driver_strength, team_strength
+           from lk join fr on lk.driver = fr.driver)"""
+_LOOKUP_D = ["season_avg_pos_delta", "race_finish_pct", "driver_strength", "team_strength"]
+
+
+@register("season_lookup", round_sql(f"with {LOOKUP_CTES} select * from lookup", _LOOKUP_D))
+def q_season_lookup(spark, sf_dir):
+    return season_lookup(feature_table(spark, sf_dir))
+
+
+@register(
+    "regression_metrics",
+    round_sql(
+        f"""with {FEATURE_CTES},
+m as (select cast(race_avg_lap as double) as label, substr({_MD5}, 1, 8) < '33333333' as is_test
+      from features where race_avg_lap is not null),
+mu as (select avg(label) as p from m where not is_test),
+t as (select label, (select p from mu) as prediction from m where is_test),
+tm as (select avg(label) as mu_t from t)
+select count(*) as n, avg(abs(label - prediction)) as mae,
+       1 - sum((label - prediction) * (label - prediction))
+         / sum((label - (select mu_t from tm)) * (label - (select mu_t from tm))) as r2
+from t""",
+        ["mae", "r2"],
+    ),
+)
+def q_regression_metrics(spark, sf_dir):
+    """Metrics of a fixed baseline prediction (the training-rows mean label)
+    on the held-out rows, so the metric operator itself is SQL-checkable."""
+    m = TR.training_matrix(feature_table(spark, sf_dir), C.LAP_TIME_TARGET)
+    m = C.holdout_split(m.filter(F.col("label").isNotNull()), TR.ROW_KEYS)
+    mu = m.filter(~F.col("is_test")).agg(F.avg("label").alias("p")).first().p
+    test = m.filter(F.col("is_test")).withColumn("prediction", F.lit(mu))
+    return TR.regression_metrics(test)
+
+
+# ---------------------------------------------------------------------------
+# Step 7 (SQL-checkable part): inference frame and rankings
+# ---------------------------------------------------------------------------
+def _position_meta(features: DataFrame) -> dict:
+    m = TR.training_matrix(features, C.POSITION_TARGET)
+    means = {r.feature: r.mean for r in C.column_means(m, _PRERACE_POS).collect()}
+    return {"feature_names": list(_PRERACE_POS), "feature_means": means}
+
+
+INFERENCE_CTES = f"""{LOOKUP_CTES},
+mu as (select avg(cast(start_grid as double)) as m_start_grid, avg(best_quali_time) as m_best_quali_time,
+       avg(season_avg_pos_delta) as m_season_avg_pos_delta, avg(race_finish_pct) as m_race_finish_pct,
+       avg(driver_strength) as m_driver_strength, avg(team_strength) as m_team_strength from features),
+inf as (select s.year, s.round, s.driver, s.start_grid as sheet_start_grid,
+       coalesce(s.start_grid, mu.m_start_grid, 0.0) as start_grid,
+       coalesce(s.best_quali_time, mu.m_best_quali_time, 0.0) as best_quali_time,
+       coalesce(l.season_avg_pos_delta, mu.m_season_avg_pos_delta, 0.0) as season_avg_pos_delta,
+       coalesce(l.race_finish_pct, mu.m_race_finish_pct, 0.0) as race_finish_pct,
+       coalesce(l.driver_strength, mu.m_driver_strength, 0.0) as driver_strength,
+       coalesce(l.team_strength, mu.m_team_strength, 0.0) as team_strength
+   from ss s left join lookup l on s.driver = l.driver cross join mu)"""
+_INF_D = ["sheet_start_grid", *_PRERACE_POS]
+
+
+def _inference(spark, sf_dir) -> DataFrame:
+    laps = laps_of(spark, sf_dir)
+    feats = feature_table(spark, sf_dir)
+    return INF.inference_frame(FX.sheet_view(laps), feats, _position_meta(feats))
+
+
+@register("inference_frame", round_sql(f"with {INFERENCE_CTES} select * from inf", _INF_D))
+def q_inference_frame(spark, sf_dir):
+    return _inference(spark, sf_dir)
+
+
+@register(
+    "rank_race_time",
+    round_sql(
+        f"with {FX.LAPS_CTE}, {QUALI_CTES} select year, round, driver, best_quali_time, "
+        "cast(case when best_quali_time is not null then row_number() over (partition by year, round "
+        "order by best_quali_time asc nulls last, driver) end as bigint) as pred_race_pos from ss",
+        ["best_quali_time"],
+    ),
+)
+def q_rank_race_time(spark, sf_dir):
+    """The ranking operator applied to a deterministic score (the sheet's best
+    quali time) so the order is SQL-checkable."""
+    s = INF.sheet_inputs(FX.sheet_view(laps_of(spark, sf_dir)))
+    return rank_race_time(s, "best_quali_time").select(
+        "year", "round", "driver", "best_quali_time", "pred_race_pos"
+    )
+
+
+@register(
+    "rank_final_position",
+    round_sql(
+        f"with {INFERENCE_CTES} select year, round, driver, sheet_start_grid, "
+        "season_avg_pos_delta as pred_delta, sheet_start_grid - season_avg_pos_delta as pred_score, "
+        "cast(row_number() over (partition by year, round order by sheet_start_grid - season_avg_pos_delta "
+        "asc nulls last, sheet_start_grid asc nulls last, driver) as bigint) as pred_final_position from inf",
+        ["sheet_start_grid", "pred_delta", "pred_score"],
+    ),
+)
+def q_rank_final_position(spark, sf_dir):
+    """Position ranking with the season delta lookup as a deterministic
+    stand-in for the model's predicted delta."""
+    inf = _inference(spark, sf_dir).withColumn("pred_delta", F.col("season_avg_pos_delta"))
+    ranked = rank_final_position(inf, "pred_delta", grid="sheet_start_grid")
+    return ranked.select(
+        "year", "round", "driver", "sheet_start_grid", "pred_delta", "pred_score", "pred_final_position"
+    )
+
+
+# ---------------------------------------------------------------------------
+# Step 6-7: model searches, leaderboard, store, predictions (rows-only)
+# ---------------------------------------------------------------------------
+def _training_set(spark, sf_dir, target=C.LAP_TIME_TARGET) -> "TR.TrainingSet":
+    return TR.prepare(feature_table(spark, sf_dir), target)
+
+
+def _search_rows(spark, ts, cv) -> DataFrame:
+    cvm = cv.fit(ts.frame.filter(~F.col("is_test")))
+    return spark.createDataFrame(TR.cv_results(cvm), "params string, cv_mae double")
+
+
+@register("search_lasso")
+def q_search_lasso(spark, sf_dir):
+    ts = _training_set(spark, sf_dir)
+    return _search_rows(spark, ts, TR.search_lasso(ts))
+
+
+@register("search_gbt")
+def q_search_gbt(spark, sf_dir):
+    ts = _training_set(spark, sf_dir)
+    return _search_rows(spark, ts, TR.search_gbt(ts))
+
+
+@register("search_third")
+def q_search_third(spark, sf_dir):
+    ts = _training_set(spark, sf_dir)
+    return _search_rows(spark, ts, TR.search_third(ts))
+
+
+@register("leaderboard")
+def q_leaderboard(spark, sf_dir):
+    board, _ = TR.leaderboard(_training_set(spark, sf_dir))
+    return board
+
+
+@register("model_store")
+def q_model_store(spark, sf_dir):
+    """Store the lasso model, load it back and score the held-out rows."""
+    ts = _training_set(spark, sf_dir)
+    _, paths = TR.leaderboard(ts, models=["lasso"])
+    model, meta = TR.load_model(spark, paths["lasso"])
+    test = ts.frame.filter(F.col("is_test"))
+    return model.transform(test).select(*TR.ROW_KEYS, "label", "prediction")
+
+
+@register("predict_race_time")
+def q_predict_race_time(spark, sf_dir):
+    feats = feature_table(spark, sf_dir)
+    ts = TR.prepare(feats, C.LAP_TIME_TARGET)
+    board, paths = TR.leaderboard(ts)
+    model, meta = TR.load_model(spark, paths[TR.best_model(board)])
+    return INF.predict_race_time(model, meta, FX.sheet_view(laps_of(spark, sf_dir)), feats)
+
+
+@register("predict_position")
+def q_predict_position(spark, sf_dir):
+    feats = feature_table(spark, sf_dir)
+    ts = TR.prepare(feats, C.POSITION_TARGET)
+    board, paths = TR.leaderboard(ts)
+    model, meta = TR.load_model(spark, paths[TR.best_model(board)])
+    return INF.predict_position(model, meta, FX.sheet_view(laps_of(spark, sf_dir)), feats)

@@ -89,22 +89,22 @@ def column_means(df: DataFrame, cols: list[str]) -> DataFrame:
     return wide.unpivot([], cols, "feature", "mean")
 
 
-def mean_impute(df: DataFrame, cols: list[str], means: DataFrame | None = None) -> DataFrame:
-    """Replace NULL in ``cols`` with the column mean (over all rows); a column
-    with no values keeps NULL -> 0.0 as the final fallback.
+def mean_impute(df: DataFrame, cols: list[str], means: dict[str, float] | None = None) -> DataFrame:
+    """Replace NULL in ``cols`` with the column mean over all rows; a column
+    with no values falls back to 0.0.
 
-    The means table is one row; it is cross-attached by a broadcast join on a
-    constant so no driver round trip is needed.
+    The means are one scalar per column (computed in one aggregate pass when
+    not given) and enter the plan as literals, so no join is needed.
     """
     if means is None:
-        wide = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"_m_{c}") for c in cols])
-    else:
-        wide = means.groupBy().pivot("feature", cols).agg(F.first("mean"))
-        wide = wide.select(*[F.col(c).alias(f"_m_{c}") for c in cols])
-    joined = df.join(F.broadcast(wide), how="left")
-    return joined.select(
+        row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
+        means = {c: row[c] for c in cols}
+    return df.select(
         *[
-            F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}"), F.lit(0.0)).alias(c)
+            F.coalesce(
+                F.col(c).cast("double"),
+                F.lit(float(means[c]) if means.get(c) is not None else 0.0),
+            ).alias(c)
             if c in cols
             else F.col(c)
             for c in df.columns
