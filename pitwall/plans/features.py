@@ -5,7 +5,8 @@ Stages and their shuffles:
      (year, round, session_type, driver) shared with lap numbering; the
      result is checkpointed to the shared checkpoint folder (lineage cut,
      survives executor loss, counted joins below read it cheaply).
-  2. quali / practice summaries: partial aggregates, shuffled pre-reduced.
+  2. quali and practice summaries: one conditional aggregate over the
+     non-race laps (one scan), shuffled pre-reduced; the sheet joins by key.
   3. left joins at driver-race grain, targets, checkpoint.
   4. season means: aggregates joined back with counted broadcasts.
   5. sparse-column drop: one aggregate pass, schema decided on the driver.
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 from pitwall.operators.clean import drop_sparse_columns
 from pitwall.operators.quali import (
     label_race,
-    practice_summary,
-    quali_block,
+    session_summaries,
+    sheet_by_race,
     standardise_sheet,
 )
 from pitwall.operators.race import (
@@ -59,12 +60,15 @@ def assemble(
 ) -> DataFrame:
     """Race block LEFT quali LEFT practice, start grid and targets (no trends)."""
     race, compounds = race_block(laps, compounds)
-    sheet_std = None
+    f = race.join(session_summaries(laps), RACE_KEYS, "left")
     if sheet is not None:
         sheet_std = standardise_sheet(label_race(sheet, laps, year, round_))
-    quali = quali_block(laps, sheet_std).withColumnRenamed("start_grid", "_sheet_grid")
-    practice = practice_summary(laps)
-    f = race.join(quali, RACE_KEYS, "left").join(practice, RACE_KEYS, "left")
+        f = f.join(sheet_by_race(sheet_std), RACE_KEYS, "left")
+        quali_time = F.coalesce(F.col("best_quali_time"), F.col("sheet_quali_time"))
+        grid = F.coalesce(F.col("sheet_grid"), F.col("start_grid_race"))
+    else:
+        quali_time = F.col("best_quali_time")
+        grid = F.col("start_grid_race")
     pct = [f"pct_{c}" for c in compounds]
     f = f.select(
         *RACE_KEYS,
@@ -77,11 +81,11 @@ def assemble(
         "pct_caution_laps",
         "pct_rain_laps",
         "avg_stint_len",
-        "best_quali_time",
+        quali_time.alias("best_quali_time"),
         "practice_avg_lap",
         "practice_std_lap",
         "practice_best_lap",
-        F.coalesce(F.col("_sheet_grid"), F.col("start_grid_race")).alias("start_grid"),
+        grid.alias("start_grid"),
         *pct,
         "lap1_position",
     )
