@@ -13,7 +13,7 @@ BROADCAST_MAX_ROWS = 1_000_000
 def join_small(
     big: DataFrame,
     small: DataFrame,
-    on: list[str],
+    on,
     how: str = "left",
     max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
@@ -44,121 +44,101 @@ def asof_nearest(
     left_time: str,
     right_time: str,
     right_id: str,
-    bucket_width: float | None = None,
+    bucket_width: float = 3600.0,
+    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """For every left row, the right row of the same ``by`` key whose time is
-    nearest (no tolerance). Ties: the earlier right time, then the lower right id.
-    Left rows with a NULL time or no right rows under their key get NULLs.
+    nearest (no tolerance). Ties: the earlier right time, then the lower right
+    id. Left rows with a NULL time or no right rows under their key get NULLs.
 
     Returns the left columns plus every right column except the ``by`` keys
     (right names must not collide with left names) and ``asof_distance``.
-
-    Plan: no pairs are formed. Right rows are first reduced to one per
-    (key, time). Both sides are then split into time buckets of
-    ``bucket_width`` so that a hot key spreads over many tasks. Inside a
-    (key, bucket) partition a window over the time-ordered union carries the
-    last right row at or before each left row and the first right row after
-    it. Left rows whose bucket has no right row on one side get it from a
-    second, much smaller window over per-bucket right summaries (one row per
-    non-empty (key, bucket)). The nearer candidate wins.
+    ``bucket_width`` is in the time column's unit (seconds for timestamps).
+
+    Plan (no left row is windowed, grouped or paired with more than the few
+    candidates of its bucket):
+      1. right rows are reduced to one per (key, time) (lowest id wins);
+      2. each right row learns its previous and next right time from a window
+         inside its time bucket, plus a carry across buckets taken from
+         per-bucket summaries (one row per non-empty bucket);
+      3. each right row becomes the interval of times it wins and is exploded
+         over the buckets from its previous to its next neighbour (the ends
+         are clamped to the span of the key's left rows);
+      4. left rows equi-join on (key, bucket) with the exact winning
+         condition, so each matches exactly one interval. The interval side
+         is broadcast when its counted size is within ``max_broadcast_rows``;
+         otherwise it is a shuffle join where AQE splits hot left partitions.
     """
     lt_type = left.schema[left_time].dataType.simpleString()
     rt_type = right.schema[right_time].dataType.simpleString()
     right_cols = [c for c in right.columns if c not in by]
-    width = float(bucket_width) if bucket_width else None
-    if width is not None and lt_type in ("timestamp", "timestamp_ntz"):
+    width = float(bucket_width)
+    if lt_type in ("timestamp", "timestamp_ntz"):
         width *= 1_000_000.0  # bucket width is given in seconds
 
-    # One candidate per (key, time): the lowest id wins equal times.
-    r = right.withColumn("_t", _epoch_micros(F.col(right_time), rt_type)).filter(
-        F.col("_t").isNotNull()
-    )
+    def bucket(t: Column) -> Column:
+        return F.floor(t / F.lit(width)).cast("long")
+
+    # 1. one candidate per (key, time)
+    payload = F.struct(*[F.col(c) for c in right_cols])
+    r = right.select(
+        *by, _epoch_micros(F.col(right_time), rt_type).alias("_t"), payload.alias("_rp"),
+        F.col(right_id).alias("_rid"),
+    ).filter(F.col("_t").isNotNull())
     for k in by:
         r = r.filter(F.col(k).isNotNull())
-    payload = F.struct(F.col(right_id).alias("_id"), *[F.col(c) for c in right_cols])
-    r = r.groupBy(*by, "_t").agg(F.min_by(payload, F.col(right_id)).alias("_rp"))
-
-    def bucket_of(t: Column) -> Column:
-        if width is None:
-            return F.lit(0).cast("long")
-        return F.floor(t / F.lit(width)).cast("long")
+    r = r.groupBy(*by, "_t").agg(F.min_by("_rp", F.col("_rid")).alias("_rp"))
+    r = r.withColumn("_b", bucket(F.col("_t")))
+
+    # 2. neighbours: inside the bucket, else from the adjacent non-empty bucket
+    wb = Window.partitionBy(*by, "_b").orderBy("_t")
+    r = r.select("*", F.lag("_t").over(wb).alias("_pt0"), F.lead("_t").over(wb).alias("_nt0"))
+    summ = r.groupBy(*by, "_b").agg(F.min("_t").alias("_bmin"), F.max("_t").alias("_bmax"))
+    wk = Window.partitionBy(*by).orderBy("_b")
+    summ = summ.select(
+        *by, "_b",
+        F.lag("_bmax").over(wk).alias("_prev_last"),
+        F.lead("_bmin").over(wk).alias("_next_first"),
+    )
+    r = r.join(summ, [*by, "_b"], "left").select(
+        *by, "_t", "_rp",
+        F.coalesce("_pt0", "_prev_last").alias("_pt"),
+        F.coalesce("_nt0", "_next_first").alias("_nt"),
+    )
 
-    lrow = left.withColumn("_lt", _epoch_micros(F.col(left_time), lt_type))
-    lrow = lrow.withColumn("_lrow", F.struct(*[F.col(c) for c in left.columns]))
-    L = lrow.select(
-        *[F.col(k) for k in by],
-        F.col("_lt").alias("_t"),
-        bucket_of(F.col("_lt")).alias("_b"),
-        F.lit(1).alias("_side"),
-        F.col("_lrow"),
-        F.lit(None).cast(r.schema["_rp"].dataType).alias("_rp"),
+    # 3. winning intervals exploded over buckets, clamped to the left span
+    lt = _epoch_micros(F.col(left_time), lt_type)
+    span = left.select(*by, lt.alias("_lt")).filter(F.col("_lt").isNotNull())
+    span = span.groupBy(*by).agg(F.min("_lt").alias("_lmin"), F.max("_lt").alias("_lmax"))
+    x = r.join(span, by, "inner")
+    lo = F.when(F.col("_pt").isNotNull(), bucket(F.col("_pt"))).otherwise(
+        F.least(bucket(F.col("_t")), bucket(F.col("_lmin")))
     )
-    R = r.select(
-        *[F.col(k) for k in by],
-        F.col("_t"),
-        bucket_of(F.col("_t")).alias("_b"),
-        F.lit(0).alias("_side"),
-        F.lit(None).cast(L.schema["_lrow"].dataType).alias("_lrow"),
-        F.col("_rp"),
+    hi = F.when(F.col("_nt").isNotNull(), bucket(F.col("_nt"))).otherwise(
+        F.greatest(bucket(F.col("_t")), bucket(F.col("_lmax")))
     )
-    u = L.unionByName(R)
-    key = [*by, "_b"]
-    # Right rows sort before left rows at equal time, so "at or before" sees them.
-    order = [F.col("_t").asc_nulls_last(), F.col("_side")]
-    w_prev = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    w_next = Window.partitionBy(*key).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
-    rt = F.when(F.col("_side") == 0, F.struct(F.col("_t").alias("t"), F.col("_rp").alias("p")))
-    marked = u.select(
-        "*",
-        F.last(rt, ignorenulls=True).over(w_prev).alias("_prev"),
-        F.first(rt, ignorenulls=True).over(w_next).alias("_next"),
-    ).filter(F.col("_side") == 1)
-
-    if width is not None:
-        # Carry across buckets: last right row of earlier buckets, first of later ones.
-        summ = r.groupBy(*by, bucket_of(F.col("_t")).alias("_b")).agg(
-            F.max_by(F.struct(F.col("_t").alias("t"), F.col("_rp").alias("p")), F.col("_t")).alias(
-                "_blast"
-            ),
-            F.min_by(F.struct(F.col("_t").alias("t"), F.col("_rp").alias("p")), F.col("_t")).alias(
-                "_bfirst"
-            ),
-        )
-        lb = marked.select(*by, "_b").distinct().withColumn("_has_left", F.lit(True))
-        carry_in = summ.join(lb, [*by, "_b"], "full_outer")
-        wb = Window.partitionBy(*by).orderBy("_b")
-        carry = carry_in.select(
-            *by,
-            "_b",
-            F.last("_blast", ignorenulls=True)
-            .over(wb.rowsBetween(Window.unboundedPreceding, -1))
-            .alias("_cprev"),
-            F.first("_bfirst", ignorenulls=True)
-            .over(wb.rowsBetween(1, Window.unboundedFollowing))
-            .alias("_cnext"),
-            "_has_left",
-        ).filter(F.col("_has_left"))
-        carry = carry.drop("_has_left")
-        marked = marked.join(carry, [*by, "_b"], "left").select(
-            *[c for c in marked.columns if c not in ("_prev", "_next")],
-            F.coalesce("_prev", "_cprev").alias("_prev"),
-            F.coalesce("_next", "_cnext").alias("_next"),
-        )
-
-    dprev = F.col("_t") - F.col("_prev.t")
-    dnext = F.col("_next.t") - F.col("_t")
-    take_prev = F.col("_next").isNull() | (
-        F.col("_prev").isNotNull() & (dprev <= dnext)
+    keys = [f"_k{i}" for i in range(len(by))]
+    x = x.select(
+        *[F.col(k).alias(a) for k, a in zip(by, keys)],
+        F.explode(F.sequence(lo, hi)).alias("_xb"),
+        F.col("_t").alias("_rt"), "_pt", "_nt", "_rp",
     )
-    chosen = F.when(F.col("_t").isNull(), F.lit(None)).otherwise(
-        F.when(take_prev, F.col("_prev")).otherwise(F.col("_next"))
+
+    # 4. left rows find their interval
+    L = left.select("*", lt.alias("_lt")).withColumn("_lb", bucket(F.col("_lt")))
+    t, rt, pt, nt = F.col("_lt"), F.col("_rt"), F.col("_pt"), F.col("_nt")
+    wins = ((t >= rt) & (nt.isNull() | (t - rt <= nt - t))) | (
+        (t < rt) & (pt.isNull() | (rt - t < t - pt))
     )
-    out = marked.select("_lrow", "_t", chosen.alias("_c"))
-    dist = F.abs(F.col("_c.t") - F.col("_t"))
+    cond = F.col("_lb") == F.col("_xb")
+    for k, a in zip(by, keys):
+        cond = cond & (F.col(k) == F.col(a))
+    j = join_small(L, x, cond & wins, "left", max_rows=max_broadcast_rows)
+    dist = F.abs(F.col("_rt") - F.col("_lt"))
     if lt_type in ("timestamp", "timestamp_ntz"):
         dist = dist / F.lit(1_000_000.0)
-    return out.select(
-        *[F.col("_lrow")[c].alias(c) for c in left.columns],
-        *[F.col("_c.p")[c].alias(c) for c in right_cols],
+    return j.select(
+        *[F.col(c) for c in left.columns],
+        *[F.col("_rp")[c].alias(c) for c in right_cols],
         dist.alias("asof_distance"),
     )

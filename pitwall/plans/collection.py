@@ -7,7 +7,7 @@ pairs), the event label and the driver's classified position.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.operators.joins import asof_nearest
@@ -96,12 +96,27 @@ def weather_samples(weather: DataFrame) -> DataFrame:
 
 def lap_records(laps: DataFrame, weather: DataFrame) -> DataFrame:
     """The collected lap log (one record per accurate lap of the collected
-    sessions) with nearest weather, event label and classified position."""
+    sessions) with nearest weather, event label and classified position.
+
+    The classified position is a window aggregate over the lap partition
+    (year, round, session_type, driver), the key the laps are already
+    clustered on, taken before the accuracy filter (results count every lap):
+    the lap log is scanned and shuffled once.
+    """
     sess = laps.filter(F.col("session_type").isin(SESSION_TYPES))
+    pos = F.col("position")
+    whole = Window.partitionBy(*LAP_PARTITION)
+    sess = sess.withColumn(
+        "grid_position",
+        F.when(
+            F.col("driver").isNotNull(),
+            F.max_by(pos, F.when(pos.isNotNull(), F.col("lap_number"))).over(whole),
+        ),
+    )
     acc = accurate_laps(sess)
     matched = asof_nearest(
-        acc.select(*LAP_PARTITION, "team", "lap_number", "lap_time", "position", "compound",
-                   "track_status", "start_time"),
+        acc.select(*LAP_PARTITION, "team", "lap_number", "lap_time", "grid_position", "position",
+                   "compound", "track_status", "start_time"),
         weather_samples(weather),
         by=SESSION_KEYS,
         left_time="start_time",
@@ -109,8 +124,7 @@ def lap_records(laps: DataFrame, weather: DataFrame) -> DataFrame:
         right_id="weather_sample_id",
         bucket_width=WEATHER_BUCKET_SECONDS,
     )
-    results = session_results(sess)
-    return matched.join(results, LAP_PARTITION, "left").select(
+    return matched.select(
         *[event_label().alias(c) if c == "event_name" else F.col(c) for c in RECORD_COLUMNS]
     )
 

@@ -9,11 +9,16 @@ from pitwall.operators.joins import asof_nearest, join_small
 from pitwall.operators.rank import rank_final_position, rank_race_time
 
 
-def _asof(spark, left, right, width):
+def _asof(spark, left, right, width, max_rows=1_000_000):
     L = spark.createDataFrame(left, "k string, lid int, t double")
     R = spark.createDataFrame(right, "k string, rid int, rt double, v string")
-    out = asof_nearest(L, R, by=["k"], left_time="t", right_time="rt", right_id="rid", bucket_width=width)
-    return {r.lid: r for r in out.collect()}
+    out = asof_nearest(
+        L, R, by=["k"], left_time="t", right_time="rt", right_id="rid", bucket_width=width,
+        max_broadcast_rows=max_rows,
+    )
+    rows = out.collect()
+    assert len(rows) == len(left)  # exactly one output row per left row
+    return {r.lid: r for r in rows}
 
 
 def brute(left, right):
@@ -27,7 +32,7 @@ def brute(left, right):
     return out
 
 
-@pytest.mark.parametrize("width", [None, 3.0, 50.0])
+@pytest.mark.parametrize("width", [1.0, 3.0, 50.0, 1000.0])
 def test_asof_edge_rows(spark, width):
     left = [("a", 1, 10.0), ("b", 2, 5.0), ("a", 3, None), ("a", 4, 100.0), ("a", 5, 9.0)]
     right = [("a", 11, 9.0, "nine"), ("a", 12, 11.0, "eleven"), ("a", 13, 9.0, "nine-b")]
@@ -39,16 +44,18 @@ def test_asof_edge_rows(spark, width):
     assert got[5].rid == 11 and got[5].asof_distance == 0.0
 
 
-@pytest.mark.parametrize("width", [None, 7.0])
+@pytest.mark.parametrize("width", [1.0, 7.0, 500.0])
 def test_asof_matches_brute_force(spark, width):
     rng = random.Random(7)
     keys = ["a", "b", "c"]
     left = [(rng.choice(keys), i, float(rng.randint(0, 200))) for i in range(300)]
     # a hot key: most samples under "a", with many equal times
     right = [(rng.choice(["a", "a", "a", "b"]), 1000 + i, float(rng.randint(0, 200)), "v") for i in range(120)]
-    got = _asof(spark, left, right, width)
     exp = brute(left, right)
+    got = _asof(spark, left, right, width)
     assert {k: v.rid for k, v in got.items()} == exp
+    shuffled = _asof(spark, left, right, width, max_rows=0)  # shuffle-join path
+    assert {k: v.rid for k, v in shuffled.items()} == exp
 
 
 def test_asof_plan_has_no_pairs(spark):
