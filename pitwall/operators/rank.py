@@ -1,26 +1,72 @@
-"""Ranking of predictions within a race."""
+"""Ranking of predictions within a race.
+
+Ranks are exact row numbers over a total order inside each race, computed
+without a per-race window: rows are range-partitioned on (race, order), so
+a race spreads over as many tasks as its size needs; each row's position
+inside its partition comes from a monotonic id after a sort, and the row
+counts of the race's earlier partitions (a tiny aggregate, one row per
+(race, partition)) are added as an offset.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitwall.operators.joins import join_small
+
 RACE = ["year", "round"]
 
 
+def ordered_rank(
+    df: DataFrame, race: list[str], order: list[Column], name: str, partitions: int | None = None
+) -> DataFrame:
+    """Add ``name`` = 1-based row number of each row inside its race under
+    ``order`` (which should be total; ties otherwise get an arbitrary order)."""
+    from pitwall.plans.features import materialise
+
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c).asc_nulls_last() for c in race]
+    s = (
+        df.repartitionByRange(n, *keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_mid", F.monotonically_increasing_id())
+    )
+    s = materialise(s)  # ids are fixed once; both uses below read the same rows
+    stats = s.groupBy(*race, "_pid").agg(
+        F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")
+    )
+    earlier = Window.partitionBy(*race).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.select(
+        *race, "_pid", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off")
+    )
+    # race keys may be NULL: join on a NULL-safe key
+    j = join_small(s, offsets.withColumnRenamed("_pid", "_opid").select(
+        *[F.col(c).alias(f"_o_{c}") for c in race], "_opid", "_first", "_off"
+    ), _null_safe_on(race, "_pid", "_opid"), "left")
+    rank = (F.col("_mid") - F.col("_first") + 1 + F.col("_off")).cast("bigint")
+    return j.select(*df.columns, rank.alias(name))
+
+
+def _null_safe_on(race: list[str], pid: str, opid: str) -> Column:
+    cond = F.col(pid) == F.col(opid)
+    for c in race:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    return cond
+
+
 def rank_race_time(
     df: DataFrame, score: str, race: list[str] = RACE, tiebreak: list[str] = ("driver",)
 ) -> DataFrame:
     """PredRacePos: 1 = fastest predicted time inside each race; ties keep the
-    tie-break order; a NULL prediction is left unranked (NULL).
-
-    The window is partitioned by race (bounded by the starting grid), so
-    several sheets can be scored together without a single global partition.
-    """
+    tie-break order; a NULL prediction is left unranked (NULL)."""
     s = F.col(score)
-    w = Window.partitionBy(*race).orderBy(s.asc_nulls_last(), *[F.col(c) for c in tiebreak])
-    return df.withColumn(
-        "pred_race_pos", F.when(s.isNotNull(), F.row_number().over(w)).cast("bigint")
+    order = [s.asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak]]
+    ranked = ordered_rank(df, list(race), order, "_rank")
+    return ranked.select(
+        *df.columns, F.when(s.isNotNull(), F.col("_rank")).cast("bigint").alias("pred_race_pos")
     )
 
 
@@ -37,9 +83,9 @@ def rank_final_position(
     if grid not in df.columns:
         raise ValueError(f"position ranking needs a '{grid}' column in the sheet")
     scored = df.withColumn("pred_score", F.col(grid) - F.col(delta))
-    w = Window.partitionBy(*race).orderBy(
+    order = [
         F.col("pred_score").asc_nulls_last(),
         F.col(grid).asc_nulls_last(),
-        *[F.col(c) for c in tiebreak],
-    )
-    return scored.withColumn("pred_final_position", F.row_number().over(w).cast("bigint"))
+        *[F.col(c).asc_nulls_last() for c in tiebreak],
+    ]
+    return ordered_rank(scored, list(race), order, "pred_final_position")

@@ -99,3 +99,19 @@ def test_rank_final_position(spark):
     assert sorted(got.values()) == [1, 2, 3, 4]
     with pytest.raises(ValueError):
         rank_final_position(df.drop("start_grid"))
+
+
+def test_rank_hot_race_spread_over_partitions(spark):
+    import random as _r
+
+    from pitwall.operators.rank import ordered_rank
+
+    rng = _r.Random(3)
+    rows = [(2024, 1, f"d{i:04d}", float(rng.randint(0, 50))) for i in range(600)]
+    rows += [(2024, 2, "solo", 1.0), (None, None, "nullrace", 2.0)]
+    df = spark.createDataFrame(rows, "year int, round int, driver string, p double")
+    got = ordered_rank(df, ["year", "round"], [F.col("p"), F.col("driver")], "r", partitions=16).collect()
+    hot = sorted((r for r in got if r.round == 1), key=lambda r: r.r)
+    assert [r.r for r in hot] == list(range(1, 601))
+    assert [(r.p, r.driver) for r in hot] == sorted((r.p, r.driver) for r in hot)
+    assert {r.driver: r.r for r in got if r.round != 1} == {"solo": 1, "nullrace": 1}
