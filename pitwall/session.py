@@ -13,6 +13,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # target post-shuffle partition size; AQE merges small partitions up to it
+    # and splits join partitions above skewedPartitionFactor x median / threshold
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -48,6 +52,24 @@ def get_spark(
     return spark
 
 
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def scale_conf(lap_log_bytes: int, total_cores: int) -> dict[str, str]:
+    """Sizing for a cluster run over ``lap_log_bytes`` of (compressed) laps.
+
+    The lap-grain shuffle moves roughly the scanned bytes once; start it with
+    enough partitions for ~256 MB each (at least 3 waves of the cores) and let
+    AQE coalesce from there. Scan splits of 256 MB keep map tasks in step.
+    """
+    parts = max(3 * total_cores, -(-lap_log_bytes // SHUFFLE_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(SHUFFLE_PARTITION_BYTES),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder, setting one only if unset.
 

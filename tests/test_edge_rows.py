@@ -176,3 +176,16 @@ def test_lookup_takes_first_team_of_season(spark):
     )
     r = season_lookup(f).first()
     assert r.team_strength == 2.0 and r.season_avg_pos_delta == 1.0
+
+
+def test_driver_aliases(spark):
+    sheet = spark.createDataFrame(
+        [(" Ada Quickfoot ", 87.3), ("Bela Apexa", 89.4), ("Unknown Driver", 90.0)],
+        "driver string, best_quali_time double",
+    )
+    aliases = spark.createDataFrame(
+        [("Ada Quickfoot", "QUI"), ("Bela Apexa", "APX"), ("Bela Apexxa", "APX")],
+        "name string, driver string",
+    )
+    got = {r.best_quali_time: r.driver for r in Q.apply_driver_aliases(sheet, aliases).collect()}
+    assert got == {87.3: "QUI", 89.4: "APX", 90.0: "Unknown Driver"}
