@@ -1,16 +1,18 @@
 """Race-session operators: lap grain in, driver-race grain out.
 
-Shuffle plan: every lap-grain step partitions by
-``(year, round, session_type, driver)``, the key the lap log is already
-clustered on, so the stint window and the driver-race aggregate need no
-further exchange. Race-wide values (race distance) are computed as an
-aggregate and joined back with a counted broadcast, never as a window over a
+Shuffle plan: every lap-grain step is keyed by
+``(year, round, session_type, driver)`` (the key the lap log is already
+clustered on), so the stint window and the aggregates need no further
+exchange. Order-dependent work (stint changes) runs in windows over lap
+blocks, so no window partition holds more than one block of a session;
+everything else is a partial aggregate. Race-wide values (race distance)
+are an aggregate joined back with a counted broadcast, never a window over a
 whole race.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.functions import caution_flag, is_true, normalise_nan, rain_flag, to_seconds
@@ -46,32 +48,44 @@ def compound_values(race: DataFrame, max_values: int = MAX_COMPOUNDS) -> list[st
     return sorted(r.c for r in rows)
 
 
-def with_stint_marks(race: DataFrame) -> DataFrame:
-    """Flag laps whose compound differs from the previous lap of the driver.
+LAP_BLOCK = 128
+_NULL_LAP_BLOCK = 2**62  # laps without a number sort after every block
 
-    The first lap counts as a change, and NULL next to anything (NULL included)
-    counts as a change.
+
+def with_stint_marks(race: DataFrame, block: int | None = None) -> DataFrame:
+    """Order marks for stint counting, computed inside lap blocks.
+
+    Laps are cut into blocks of ``block`` consecutive lap numbers; a window
+    over (driver-session, block) gives each lap its row number ``_rn`` and,
+    for every lap but the block's first, ``_chg_in`` = 1 when its compound
+    differs from the previous lap's (NULL next to anything counts). A window
+    partition therefore holds at most one block of laps, however long the
+    session. Block boundaries are settled in :func:`stint_counts`.
     """
-    w = Window.partitionBy(*LAP_PARTITION).orderBy(F.col("lap_number").asc_nulls_last())
-    prev = F.lag("compound").over(w)
-    return race.withColumn(
-        "compound_change", F.coalesce(~(prev == F.col("compound")), F.lit(True)).cast("int")
+    block = block or LAP_BLOCK
+    lap = F.col("lap_number")
+    r = race.withColumn(
+        "_blk", F.coalesce(F.floor(lap / F.lit(block)), F.lit(_NULL_LAP_BLOCK)).cast("long")
     )
+    w = Window.partitionBy(*LAP_PARTITION, "_blk").orderBy(lap.asc_nulls_last())
+    rn = F.row_number().over(w)
+    prev = F.lag("compound").over(w)
+    changed = F.coalesce(~(prev == F.col("compound")), F.lit(True)).cast("int")
+    return r.select("*", rn.alias("_rn"), F.when(rn > 1, changed).alias("_chg_in"))
 
 
-def _position_order():
-    pos = F.col("position")
-    return pos, F.when(pos.isNotNull(), F.col("lap_number"))
+def _mark(order: Column, value: Column) -> Column:
+    return F.struct(order.alias("o"), value.alias("v"))
 
 
-def race_driver_team(laps: DataFrame, compounds: list[str]) -> DataFrame:
-    """Per (year, round, session_type, driver, team) race aggregates.
+def block_summaries(laps: DataFrame, compounds: list[str]) -> DataFrame:
+    """The one lap-grain pass: per (year, round, session_type, driver, team,
+    lap block) mergeable summaries.
 
-    Values the reference computes per driver-race regardless of team (stints,
-    first position, lap-1 position, compound counts) are window aggregates
-    over the lap partition, so they stay exact when a driver's laps carry two
-    teams or a NULL team. NULL-keyed groups are kept here (they still define
-    the race distance) and removed by :func:`race_features`.
+    Lap time moments (count, mean, population variance) merge exactly into
+    per-team mean and sample std; first/last marks are (order, value) structs
+    merged with min_by/max_by; counts and sums add up. The stint window and
+    this aggregate share the lap partition, so the laps are shuffled once.
     """
     race = race_laps(laps)
     race = race.select(
@@ -80,30 +94,110 @@ def race_driver_team(laps: DataFrame, compounds: list[str]) -> DataFrame:
         rain_flag(race).alias("rain_lap"),
     )
     marked = with_stint_marks(race)
-    whole = Window.partitionBy(*LAP_PARTITION)
     lap = F.col("lap_number")
     pos, pos_ord = _position_order()
     comp = F.lower(F.col("compound"))
-    marked = marked.select(
+    rn = F.col("_rn")
+    return marked.groupBy(*LAP_PARTITION, "team", "_blk").agg(
+        F.count("lap_time").alias("_n"),
+        F.avg("lap_time").alias("_mean"),
+        F.var_pop("lap_time").alias("_vpop"),
+        F.max_by(_mark(pos_ord, pos), pos_ord).alias("_lastpos"),
+        F.min_by(_mark(pos_ord, pos), pos_ord).alias("_firstpos"),
+        F.max("lap_number").alias("_maxlap"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum("is_caution").alias("_caution"),
+        F.sum("rain_lap").alias("_rain"),
+        F.max(F.when(lap == 1, pos)).alias("_lap1"),
+        F.count(F.when(comp.isNotNull(), lap)).alias("_comp_laps"),
+        *[F.count(F.when(comp == c, lap)).alias(f"_n_{c}") for c in compounds],
+        F.sum("_chg_in").alias("_inner"),
+        F.min_by(_mark(rn, F.col("compound")), rn).alias("_firstc"),
+        F.max_by(_mark(rn, F.col("compound")), rn).alias("_lastc"),
+    )
+
+
+def stint_counts(blocks: DataFrame) -> DataFrame:
+    """Compound runs per driver-session (the first lap counts as a change).
+
+    Changes inside blocks add up; a window over each session's block rows
+    (one per non-empty block) adds one change where a block's first compound
+    differs from the previous block's last (NULL next to anything counts),
+    and one for the first block.
+    """
+    per_block = blocks.groupBy(*LAP_PARTITION, "_blk").agg(
+        F.sum("_inner").alias("_inner"),
+        F.min_by("_firstc", F.col("_firstc.o")).alias("_first"),
+        F.max_by("_lastc", F.col("_lastc.o")).alias("_last"),
+    )
+    w = Window.partitionBy(*LAP_PARTITION).orderBy("_blk")
+    edge = F.coalesce(~(F.lag("_last").over(w)["v"] == F.col("_first")["v"]), F.lit(True)).cast("int")
+    runs = per_block.select(*LAP_PARTITION, (F.coalesce(F.col("_inner"), F.lit(0)) + edge).alias("_runs"))
+    return runs.groupBy(*LAP_PARTITION).agg(F.sum("_runs").alias("num_stops"))
+
+
+def _position_order():
+    pos = F.col("position")
+    return pos, F.when(pos.isNotNull(), F.col("lap_number"))
+
+
+def race_driver_team(blocks: DataFrame, compounds: list[str]) -> DataFrame:
+    """Per (year, round, session_type, driver, team) race aggregates rolled up
+    from :func:`block_summaries` (small: one row per block).
+
+    Values the reference computes per driver-race regardless of team (stints,
+    first position, lap-1 position, compound counts) roll up per driver-session
+    and join back, so they stay exact when a driver's laps carry two teams or
+    a NULL team. NULL-keyed groups are kept (they still define the race
+    distance) and removed by :func:`race_features`.
+    """
+    team_key = [*LAP_PARTITION, "team"]
+    n = F.col("_n")
+    # merge lap-time moments (Chan et al.): M2 = sum(n_b var_b + n_b (mean_b - mean)^2)
+    tw = Window.partitionBy(*team_key)
+    tot = F.sum(n).over(tw)
+    gmean = F.sum(n * F.col("_mean")).over(tw) / tot
+    moments = blocks.select(
         "*",
-        F.sum("compound_change").over(whole).alias("_d_stops"),
-        F.min_by(pos, pos_ord).over(whole).alias("_d_first_pos"),
-        F.max(F.when(lap == 1, pos)).over(whole).alias("_d_lap1"),
-        F.count(F.when(comp.isNotNull(), lap)).over(whole).alias("_d_comp_laps"),
-        *[F.count(F.when(comp == c, lap)).over(whole).alias(f"_d_n_{c}") for c in compounds],
+        F.when(n > 0, n * F.col("_vpop") + n * (F.col("_mean") - gmean) ** 2).alias("_m2"),
+        gmean.alias("_gmean"),
+    )
+    per_team = moments.groupBy(*team_key).agg(
+        F.sum("_n").alias("_cnt"),
+        F.max("_gmean").alias("race_avg_lap"),
+        F.sum("_m2").alias("_m2"),
+        F.max_by(F.col("_lastpos.v"), F.col("_lastpos.o")).alias("final_position"),
+        F.max("_maxlap").alias("total_laps"),
+        (F.sum("_caution") / F.sum("_rows")).alias("pct_caution_laps"),
+        (F.sum("_rain") / F.sum("_rows")).alias("pct_rain_laps"),
+    )
+    std = F.when(F.col("_cnt") > 1, F.sqrt(F.col("_m2") / (F.col("_cnt") - 1)))
+    per_team = per_team.select(
+        *team_key,
+        F.when(F.col("_cnt") > 0, F.col("race_avg_lap")).alias("race_avg_lap"),
+        std.alias("race_std_lap"),
+        "final_position", "total_laps", "pct_caution_laps", "pct_rain_laps",
     )
-    return marked.groupBy(*LAP_PARTITION, "team").agg(
-        F.avg("lap_time").alias("race_avg_lap"),
-        F.stddev_samp("lap_time").alias("race_std_lap"),
-        F.max("_d_stops").alias("num_stops"),
-        F.max_by(pos, pos_ord).alias("final_position"),
-        F.max("lap_number").alias("total_laps"),
-        F.avg("is_caution").alias("pct_caution_laps"),
-        F.avg("rain_lap").alias("pct_rain_laps"),
-        F.max("_d_first_pos").alias("start_grid_race"),
-        F.max("_d_lap1").alias("lap1_position"),
-        F.max("_d_comp_laps").alias("compound_laps"),
-        *[F.max(f"_d_n_{c}").alias(f"n_{c}") for c in compounds],
+    per_driver = blocks.groupBy(*LAP_PARTITION).agg(
+        F.min_by(F.col("_firstpos.v"), F.col("_firstpos.o")).alias("start_grid_race"),
+        F.max("_lap1").alias("lap1_position"),
+        F.sum("_comp_laps").alias("compound_laps"),
+        *[F.sum(f"_n_{c}").alias(f"n_{c}") for c in compounds],
+    )
+    driver = per_driver.join(stint_counts(blocks), LAP_PARTITION, "left")
+    return per_team.join(driver, LAP_PARTITION, "left").select(
+        *team_key,
+        "race_avg_lap",
+        "race_std_lap",
+        "num_stops",
+        "final_position",
+        "total_laps",
+        "pct_caution_laps",
+        "pct_rain_laps",
+        "start_grid_race",
+        "lap1_position",
+        "compound_laps",
+        *[f"n_{c}" for c in compounds],
     )
 
 

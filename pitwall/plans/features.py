@@ -1,10 +1,11 @@
 """Driver-race feature table: laps in, one row per (year, round, driver, team).
 
 Stages and their shuffles:
-  1. lap grain -> driver-race-team aggregates: one exchange on
+  1. lap grain -> mergeable per-block summaries: one exchange on
      (year, round, session_type, driver) shared with lap numbering; the
-     result is checkpointed to the shared checkpoint folder (lineage cut,
-     survives executor loss, counted joins below read it cheaply).
+     block-bounded stint window and the aggregate run on it. The summaries
+     are checkpointed to the shared checkpoint folder (lineage cut, survives
+     executor loss); per-team / per-driver values roll up from them.
   2. quali and practice summaries: one conditional aggregate over the
      non-race laps (one scan), shuffled pre-reduced; the sheet joins by key.
   3. left joins at driver-race grain, targets, checkpoint.
@@ -27,6 +28,7 @@ from pitwall.operators.quali import (
 from pitwall.operators.race import (
     RACE_KEYS,
     compound_values,
+    block_summaries,
     race_driver_team,
     race_features,
     race_laps,
@@ -47,7 +49,8 @@ def race_block(laps: DataFrame, compounds: list[str] | None = None) -> tuple[Dat
     compound usage); returns the frame and the compound list used."""
     if compounds is None:
         compounds = compound_values(race_laps(laps))
-    base = materialise(race_driver_team(laps, compounds))
+    blocks = materialise(block_summaries(laps, compounds))
+    base = race_driver_team(blocks, compounds)
     return race_features(base, compounds), compounds
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pitwall.functions import caution_flag, least_present, text_to_seconds
 from pitwall.operators import quali as Q
 from pitwall.operators.clean import drop_sparse_columns, sparse_report
-from pitwall.operators.race import race_driver_team, race_features
+from pitwall.operators.race import block_summaries, race_driver_team, race_features
 from pitwall.operators.season import season_lookup
 
 LAP_SCHEMA = (
@@ -22,7 +22,7 @@ def laps_df(spark, rows):
 def race_rows(spark, rows, compounds=None):
     laps = laps_df(spark, rows)
     comps = compounds if compounds is not None else ["m", "s"]
-    base = race_driver_team(laps, comps)
+    base = race_driver_team(block_summaries(laps, comps), comps)
     return {(r.driver, r.team): r for r in race_features(base, comps).collect()}
 
 
@@ -189,3 +189,21 @@ def test_driver_aliases(spark):
     )
     got = {r.best_quali_time: r.driver for r in Q.apply_driver_aliases(sheet, aliases).collect()}
     assert got == {87.3: "QUI", 89.4: "APX", 90.0: "Unknown Driver"}
+
+
+def test_stints_across_lap_blocks(spark):
+    import pitwall.operators.race as R
+
+    seq = ["S", "S", None, "M", "M", "M", "H", None, None, "H", "S"]
+    gaps = [1, 2, 3, 5, 8, 9, 13, 14, 20, 21, 40]  # lap numbers with gaps
+    rows = [lap("A", n, comp=c) for n, c in zip(gaps, seq)]
+    laps = laps_df(spark, rows)
+    expected = 1 + sum(1 for a, b in zip(seq, seq[1:]) if a is None or b is None or a != b)
+    default = R.LAP_BLOCK
+    try:
+        for block in (1, 2, 3, 7, 128):
+            R.LAP_BLOCK = block
+            got = R.stint_counts(R.block_summaries(laps, ["s", "m", "h"])).first().num_stops
+            assert got == expected, block
+    finally:
+        R.LAP_BLOCK = default
