@@ -156,7 +156,7 @@ def race_driver_team(blocks: DataFrame, compounds: list[str]) -> DataFrame:
     # merge lap-time moments (Chan et al.): M2 = sum(n_b var_b + n_b (mean_b - mean)^2)
     tw = Window.partitionBy(*team_key)
     tot = F.sum(n).over(tw)
-    gmean = F.sum(n * F.col("_mean")).over(tw) / tot
+    gmean = F.try_divide(F.sum(n * F.col("_mean")).over(tw), tot)
     moments = blocks.select(
         "*",
         F.when(n > 0, n * F.col("_vpop") + n * (F.col("_mean") - gmean) ** 2).alias("_m2"),
@@ -168,8 +168,8 @@ def race_driver_team(blocks: DataFrame, compounds: list[str]) -> DataFrame:
         F.sum("_m2").alias("_m2"),
         F.max_by(F.col("_lastpos.v"), F.col("_lastpos.o")).alias("final_position"),
         F.max("_maxlap").alias("total_laps"),
-        (F.sum("_caution") / F.sum("_rows")).alias("pct_caution_laps"),
-        (F.sum("_rain") / F.sum("_rows")).alias("pct_rain_laps"),
+        F.try_divide(F.sum("_caution"), F.sum("_rows")).alias("pct_caution_laps"),
+        F.try_divide(F.sum("_rain"), F.sum("_rows")).alias("pct_rain_laps"),
     )
     std = F.when(F.col("_cnt") > 1, F.sqrt(F.col("_m2") / (F.col("_cnt") - 1)))
     per_team = per_team.select(

@@ -207,3 +207,12 @@ def test_stints_across_lap_blocks(spark):
             assert got == expected, block
     finally:
         R.LAP_BLOCK = default
+
+
+def test_all_null_lap_times(spark):
+    rows = [lap("A", 1, lap_time=None), lap("A", 2, lap_time=None), lap("B", 1), lap("B", 2, lap_time=92.0)]
+    got = race_rows(spark, rows)
+    a, b = got[("A", "T1")], got[("B", "T1")]
+    assert a.race_avg_lap is None and a.race_std_lap is None
+    assert a.pct_caution_laps == 0.0
+    assert b.race_avg_lap == pytest.approx(91.0) and b.race_std_lap == pytest.approx(2 ** 0.5)
