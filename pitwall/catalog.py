@@ -876,3 +876,32 @@ def q_predict_position(spark, sf_dir):
     board, paths = TR.leaderboard(ts)
     model, meta = TR.load_model(spark, paths[TR.best_model(board)])
     return INF.predict_position(model, meta, FX.sheet_view(laps_of(spark, sf_dir)), feats)
+
+
+# ---------------------------------------------------------------------------
+# Collection as a stream: the same records through Structured Streaming
+# ---------------------------------------------------------------------------
+from pitwall.streaming.collect import LANDED_LAP_SCHEMA, start_collection  # noqa: E402
+
+
+@register("collect_stream", LAP_RECORDS_SQL)
+def q_collect_stream(spark, sf_dir):
+    """Race sessions are landed as Parquet files (one folder per season),
+    picked up by the streaming collector (availableNow trigger) and appended
+    to a partitioned records table, which is returned."""
+    import uuid
+
+    laps = laps_of(spark, sf_dir)
+    landed = IO.new_scratch(spark, "landed-sessions")
+    (
+        laps.filter(F.col("session_type").isin(CL.SESSION_TYPES))
+        .select(*[f.name for f in LANDED_LAP_SCHEMA.fields])
+        .repartition("year")
+        .write.mode("overwrite")
+        .parquet(landed)
+    )
+    sink = IO.new_scratch(spark, "records-sink")
+    name = f"collect_{uuid.uuid4().hex[:8]}"
+    q = start_collection(spark, landed, FX.weather_view(spark, sf_dir), sink, query_name=name, available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(sink).select(*CL.RECORD_COLUMNS)
