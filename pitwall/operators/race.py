@@ -201,18 +201,16 @@ def race_driver_team(blocks: DataFrame, compounds: list[str]) -> DataFrame:
     )
 
 
-def race_distance(base: DataFrame) -> DataFrame:
-    """Race distance = the highest lap number of any race lap of the race."""
-    return base.groupBy("year", "round").agg(F.max("total_laps").alias("race_laps"))
+def race_distance(blocks: DataFrame) -> DataFrame:
+    """Race distance = the highest lap number of any race lap of the race
+    (from the block summaries, which keep NULL-driver and NULL-team laps)."""
+    return blocks.groupBy("year", "round").agg(F.max("_maxlap").alias("race_laps"))
 
 
-def race_features(base: DataFrame, compounds: list[str]) -> DataFrame:
-    """Driver-race race block from :func:`race_driver_team` output.
-
-    ``base`` should be materialised (checkpointed): the race-distance table is
-    counted before it is broadcast.
-    """
-    dist = race_distance(base)
+def race_features(base: DataFrame, compounds: list[str], dist: DataFrame) -> DataFrame:
+    """Driver-race race block from :func:`race_driver_team` output and the
+    race distance table (counted before it is broadcast, so it should come
+    from materialised input such as the checkpointed block summaries)."""
     keyed = base.filter(F.col("driver").isNotNull() & F.col("team").isNotNull())
     for k in ("year", "round"):
         keyed = keyed.filter(F.col(k).isNotNull())

@@ -28,6 +28,7 @@ from pitwall.operators.quali import (
 from pitwall.operators.race import (
     RACE_KEYS,
     compound_values,
+    race_distance,
     block_summaries,
     race_driver_team,
     race_features,
@@ -51,7 +52,7 @@ def race_block(laps: DataFrame, compounds: list[str] | None = None) -> tuple[Dat
         compounds = compound_values(race_laps(laps))
     blocks = materialise(block_summaries(laps, compounds))
     base = race_driver_team(blocks, compounds)
-    return race_features(base, compounds), compounds
+    return race_features(base, compounds, race_distance(blocks)), compounds
 
 
 def assemble(

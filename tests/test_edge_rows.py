@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pitwall.functions import caution_flag, least_present, text_to_seconds
 from pitwall.operators import quali as Q
 from pitwall.operators.clean import drop_sparse_columns, sparse_report
-from pitwall.operators.race import block_summaries, race_driver_team, race_features
+from pitwall.operators.race import block_summaries, race_distance, race_driver_team, race_features
 from pitwall.operators.season import season_lookup
 
 LAP_SCHEMA = (
@@ -22,8 +22,9 @@ def laps_df(spark, rows):
 def race_rows(spark, rows, compounds=None):
     laps = laps_df(spark, rows)
     comps = compounds if compounds is not None else ["m", "s"]
-    base = race_driver_team(block_summaries(laps, comps), comps)
-    return {(r.driver, r.team): r for r in race_features(base, comps).collect()}
+    blocks = block_summaries(laps, comps)
+    base = race_driver_team(blocks, comps)
+    return {(r.driver, r.team): r for r in race_features(base, comps, race_distance(blocks)).collect()}
 
 
 def lap(driver="D1", n=1, pos=None, comp=None, team="T1", status="1", lap_time=90.0, year=2024, rnd=1):
