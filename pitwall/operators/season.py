@@ -17,18 +17,19 @@ def season_trends(features: DataFrame, prior_only: bool = False) -> DataFrame:
     driver) and team_strength (per year, team).
 
     ``prior_only`` restricts each mean to earlier rounds of the season (no
-    look-ahead); it uses a range window ordered by round.
+    look-ahead): per-round sums, a running window with one row per round,
+    joined back.
     """
     if prior_only:
-        earlier = Window.unboundedPreceding, -1
-        wd = Window.partitionBy("year", "driver").orderBy("round").rangeBetween(*earlier)
-        wt = Window.partitionBy("year", "team").orderBy("round").rangeBetween(*earlier)
-        return features.select(
-            "*",
-            F.avg("pos_change").over(wd).alias("season_avg_pos_delta"),
-            F.avg("final_position").over(wd).alias("driver_strength"),
-            F.avg("finish_flag").over(wd).alias("race_finish_pct"),
-            F.avg("final_position").over(wt).alias("team_strength"),
+        out = _prior_means(
+            features, ["year", "driver"],
+            {"season_avg_pos_delta": "pos_change", "driver_strength": "final_position",
+             "race_finish_pct": "finish_flag"},
+        )
+        out = _prior_means(out, ["year", "team"], {"team_strength": "final_position"})
+        return out.select(
+            *features.columns,
+            "season_avg_pos_delta", "driver_strength", "race_finish_pct", "team_strength",
         )
     by_driver = features.groupBy("year", "driver").agg(
         F.avg("pos_change").alias("season_avg_pos_delta"),
@@ -49,6 +50,27 @@ def season_trends(features: DataFrame, prior_only: bool = False) -> DataFrame:
     )
 
 
+def _prior_means(features: DataFrame, key: list[str], outputs: dict[str, str]) -> DataFrame:
+    """Mean of each source column over the rows of earlier rounds of the same
+    (season, key). Rows are first summed per round, so the running window
+    holds one row per round, then joined back by (key, round)."""
+    sources = sorted(set(outputs.values()))
+    per_round = features.groupBy(*key, "round").agg(
+        *[F.sum(c).alias(f"_s_{c}") for c in sources],
+        *[F.count(c).alias(f"_n_{c}") for c in sources],
+    )
+    earlier = Window.partitionBy(*key).orderBy("round").rowsBetween(Window.unboundedPreceding, -1)
+    prior = per_round.select(
+        *key,
+        "round",
+        *[
+            F.try_divide(F.sum(f"_s_{src}").over(earlier), F.sum(f"_n_{src}").over(earlier)).alias(name)
+            for name, src in outputs.items()
+        ],
+    )
+    return join_small(features, prior, [*key, "round"], "left")
+
+
 def latest_season(features: DataFrame) -> DataFrame:
     """Rows of the latest year (scalar max(year) subquery, broadcast semi join)."""
     top = features.agg(F.max("year").alias("year"))

@@ -57,3 +57,30 @@ def test_prior_only_trends_do_not_look_ahead(spark, features):
     first_round = prior.groupBy("year", "driver").agg(F.min("round").alias("round"))
     firsts = prior.join(first_round, ["year", "driver", "round"], "left_semi")
     assert firsts.filter(F.col("driver_strength").isNotNull()).count() == 0
+
+
+def test_prior_only_equals_window_definition(spark, features):
+    from pyspark.sql import Window
+
+    from pitwall.operators.season import season_trends
+
+    base = features.drop("season_avg_pos_delta", "driver_strength", "race_finish_pct", "team_strength")
+    got = season_trends(base, prior_only=True)
+    earlier = (Window.unboundedPreceding, -1)
+    wd = Window.partitionBy("year", "driver").orderBy("round").rangeBetween(*earlier)
+    wt = Window.partitionBy("year", "team").orderBy("round").rangeBetween(*earlier)
+    exp = base.select(
+        "*",
+        F.avg("pos_change").over(wd).alias("season_avg_pos_delta"),
+        F.avg("final_position").over(wd).alias("driver_strength"),
+        F.avg("finish_flag").over(wd).alias("race_finish_pct"),
+        F.avg("final_position").over(wt).alias("team_strength"),
+    )
+    keys = ["year", "round", "driver", "team"]
+    j = got.alias("g").join(exp.alias("e"), keys)
+    for c in ("season_avg_pos_delta", "driver_strength", "race_finish_pct", "team_strength"):
+        diff = j.filter(
+            ~(F.col(f"g.{c}").eqNullSafe(F.col(f"e.{c}")) | (F.abs(F.col(f"g.{c}") - F.col(f"e.{c}")) < 1e-9))
+        ).count()
+        assert diff == 0, c
+    assert got.count() == base.count()
