@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitwall.operators.joins import asof_nearest
+from pitwall.operators.joins import asof_nearest, join_small
 from pitwall.operators.race import LAP_PARTITION
 
 # The session types collected (race only is active) and the
@@ -51,32 +51,44 @@ def session_results(laps: DataFrame) -> DataFrame:
     )
 
 
+def with_classified_position(laps: DataFrame) -> DataFrame:
+    """Attach grid_position: the driver's last non-NULL position in lap order
+    over the whole session (every lap counts). A window aggregate over the
+    lap partition (year, round, session_type, driver), the key laps are
+    already clustered on, so no second pass or join over the laps is needed."""
+    pos = F.col("position")
+    whole = Window.partitionBy(*LAP_PARTITION)
+    return laps.withColumn(
+        "grid_position",
+        F.when(
+            F.col("driver").isNotNull(),
+            F.max_by(pos, F.when(pos.isNotNull(), F.col("lap_number"))).over(whole),
+        ),
+    )
+
+
 def session_dim(laps: DataFrame, supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """Laps of the collected sessions with event name, driver and team names
     and the driver's classified position.
 
-    The results table shares the lap partitioning (year, round, session_type,
-    driver), so attaching it does not move the laps; names are joined at the
-    results grain (one row per driver-session), team names from the nation
-    dimension (tiny, planner-broadcast).
+    The classified position is a window over the lap partition (no second
+    pass over the laps); driver and team names come from the dimensions
+    through counted-broadcast joins (a shuffle join if a dimension is large).
     """
-    sess = laps.filter(F.col("session_type").isin(SESSION_TYPES))
+    sess = with_classified_position(laps.filter(F.col("session_type").isin(SESSION_TYPES)))
     drivers = supplier.select(F.col("s_suppkey").alias("driver"), F.col("s_name").alias("driver_name"))
-    results = session_results(sess).join(drivers, ["driver"], "left")
     teams = nation.select(F.col("n_nationkey").alias("team"), F.col("n_name").alias("team_name"))
-    return (
-        sess.join(results, LAP_PARTITION, "left")
-        .join(teams, ["team"], "left")
-        .select(
-            *SESSION_KEYS,
-            event_label().alias("event_name"),
-            "driver",
-            "driver_name",
-            "team",
-            "team_name",
-            "lap_number",
-            "grid_position",
-        )
+    out = join_small(sess, drivers, ["driver"], "left")
+    out = join_small(out, teams, ["team"], "left")
+    return out.select(
+        *SESSION_KEYS,
+        event_label().alias("event_name"),
+        "driver",
+        "driver_name",
+        "team",
+        "team_name",
+        "lap_number",
+        "grid_position",
     )
 
 
@@ -103,16 +115,7 @@ def lap_records(laps: DataFrame, weather: DataFrame) -> DataFrame:
     clustered on, taken before the accuracy filter (results count every lap):
     the lap log is scanned and shuffled once.
     """
-    sess = laps.filter(F.col("session_type").isin(SESSION_TYPES))
-    pos = F.col("position")
-    whole = Window.partitionBy(*LAP_PARTITION)
-    sess = sess.withColumn(
-        "grid_position",
-        F.when(
-            F.col("driver").isNotNull(),
-            F.max_by(pos, F.when(pos.isNotNull(), F.col("lap_number"))).over(whole),
-        ),
-    )
+    sess = with_classified_position(laps.filter(F.col("session_type").isin(SESSION_TYPES)))
     acc = accurate_laps(sess)
     matched = asof_nearest(
         acc.select(*LAP_PARTITION, "team", "lap_number", "lap_time", "grid_position", "position",
