@@ -153,14 +153,21 @@ def race_driver_team(blocks: DataFrame, compounds: list[str]) -> DataFrame:
     """
     team_key = [*LAP_PARTITION, "team"]
     n = F.col("_n")
-    # merge lap-time moments (Chan et al.): M2 = sum(n_b var_b + n_b (mean_b - mean)^2)
-    tw = Window.partitionBy(*team_key)
-    tot = F.sum(n).over(tw)
-    gmean = F.try_divide(F.sum(n * F.col("_mean")).over(tw), tot)
-    moments = blocks.select(
+    # merge lap-time moments (Chan et al.): M2 = sum(n_b var_b + n_b (mean_b - mean)^2).
+    # The team mean is an aggregate of the block rows joined back null-safely
+    # (no window over a whole driver-session).
+    totals = blocks.groupBy(*team_key).agg(
+        F.try_divide(F.sum(n * F.col("_mean")), F.sum(n)).alias("_gmean"),
+    ).select(*[F.col(c).alias(f"_t_{c}") for c in team_key], "_gmean")
+    cond = None
+    for c in team_key:
+        eq = F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+        cond = eq if cond is None else cond & eq
+    joined = join_small(blocks, totals, cond, "left").drop(*[f"_t_{c}" for c in team_key])
+    gmean = F.col("_gmean")
+    moments = joined.select(
         "*",
         F.when(n > 0, n * F.col("_vpop") + n * (F.col("_mean") - gmean) ** 2).alias("_m2"),
-        gmean.alias("_gmean"),
     )
     per_team = moments.groupBy(*team_key).agg(
         F.sum("_n").alias("_cnt"),

@@ -1,60 +1,132 @@
-"""Ranking of predictions within a race.
-
-Ranks are exact row numbers over a total order inside each race, computed
-without a per-race window: rows are range-partitioned on (race, order), so
-a race spreads over as many tasks as its size needs; each row's position
-inside its partition comes from a monotonic id after a sort, and the row
-counts of the race's earlier partitions (a tiny aggregate, one row per
-(race, partition)) are added as an offset.
+"""Exact row numbers inside groups, and ranking of predictions in a race.
+
+``row_numbers`` is ``row_number() over (partition by keys order by ...)``
+without a window over a whole group, so one group holding a third of all
+rows still spreads over many tasks:
+
+  1. rows are range-partitioned on (keys, order) and sorted inside each
+     partition: a large group covers a run of consecutive partitions;
+  2. one Arrow pass per partition numbers the rows of each group locally
+     (the partition is sorted, so a group is a contiguous run of rows) and
+     the result is checkpointed, so the numbering is fixed once;
+  3. a summary with one row per non-empty partition (first key, last key
+     and its local count) gives every partition the count of its first
+     group in the partitions before it. That table is bounded by the
+     partition count, so it is broadcast; the rows never shuffle again.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from pitwall.operators.joins import join_small
+from pyspark.sql import types as T
 
 RACE = ["year", "round"]
 
 
-def ordered_rank(
-    df: DataFrame, race: list[str], order: list[Column], name: str, partitions: int | None = None
+def _local_numberer(keys: list[str]):
+    """mapInArrow body: per sorted partition, append the partition id, the
+    1-based row number inside the current key run and the row position.
+    Self-contained (imports inside), so executors need no pitwall install."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        def same_key(x, y):
+            return all((a is None and b is None) or (a is not None and a == b) for a, b in zip(x, y))
+
+        pid = TaskContext.get().partitionId()
+        last, run_len, pos = None, 0, 0
+        for rb in batches:
+            m = rb.num_rows
+            if m == 0:
+                continue
+            same = np.ones(m, dtype=bool)
+            for c in keys:
+                col = rb.column(c)
+                a, b = col.slice(1), col.slice(0, m - 1)
+                eq = pc.or_(
+                    pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b))
+                )
+                same[1:] &= eq.to_numpy(zero_copy_only=False)
+            first = [rb.column(c)[0].as_py() for c in keys]
+            same[0] = last is not None and same_key(first, last)
+            idx = np.arange(m, dtype=np.int64)
+            start = np.maximum.accumulate(np.where(same, 0, idx))
+            lrn = idx - start + 1
+            lrn[np.cumsum(~same) == 0] += run_len  # rows continuing the last run
+            run_len = int(lrn[-1])
+            last = [rb.column(c)[m - 1].as_py() for c in keys]
+            yield pa.RecordBatch.from_arrays(
+                [*rb.columns, pa.array(np.full(m, pid, dtype=np.int32)), pa.array(lrn), pa.array(idx + pos)],
+                names=[*rb.schema.names, "_pid", "_lrn", "_pos"],
+            )
+            pos += m
+
+    return run
+
+
+def row_numbers(
+    df: DataFrame,
+    keys: list[str],
+    order: list[Column],
+    name: str,
+    partitions: int | None = None,
+    drop: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Add ``name`` = 1-based row number of each row inside its race under
-    ``order`` (which should be total; ties otherwise get an arbitrary order)."""
+    """Add ``name`` = 1-based row number inside each group of ``keys`` under
+    ``order`` (which should be total; tied rows are numbered in an arbitrary
+    order). NULL keys form groups like any value. Columns in ``drop`` are
+    used for ordering only and removed before the numbering pass."""
     from pitwall.plans.features import materialise
 
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c).asc_nulls_last() for c in race]
-    s = (
-        df.repartitionByRange(n, *keys, *order)
-        .sortWithinPartitions(*keys, *order)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
+    kcols = [F.col(c).asc_nulls_first() for c in keys]
+    out_cols = [c for c in df.columns if c not in drop]
+    ranged = df.repartitionByRange(n, *kcols, *order).sortWithinPartitions(*kcols, *order)
+    ranged = ranged.select(*out_cols)
+    schema = T.StructType(
+        [
+            *ranged.schema.fields,
+            T.StructField("_pid", T.IntegerType(), False),
+            T.StructField("_lrn", T.LongType(), False),
+            T.StructField("_pos", T.LongType(), False),
+        ]
     )
-    s = materialise(s)  # ids are fixed once; both uses below read the same rows
-    stats = s.groupBy(*race, "_pid").agg(
-        F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")
+    s = materialise(ranged.mapInArrow(_local_numberer(list(keys)), schema))
+    key = F.struct(*[F.col(c) for c in keys])
+    summ = s.groupBy("_pid").agg(
+        F.min_by(key, "_pos").alias("_fk"),
+        F.max_by(F.struct(key.alias("k"), F.col("_lrn").alias("n")), "_pos").alias("_last"),
     )
-    earlier = Window.partitionBy(*race).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select(
-        *race, "_pid", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off")
+    # at most one row per partition from here on
+    run = Window.partitionBy(F.col("_last.k")).orderBy("_pid").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    # race keys may be NULL: join on a NULL-safe key
-    j = join_small(s, offsets.withColumnRenamed("_pid", "_opid").select(
-        *[F.col(c).alias(f"_o_{c}") for c in race], "_opid", "_first", "_off"
-    ), _null_safe_on(race, "_pid", "_opid"), "left")
-    rank = (F.col("_mid") - F.col("_first") + 1 + F.col("_off")).cast("bigint")
-    return j.select(*df.columns, rank.alias(name))
-
-
-def _null_safe_on(race: list[str], pid: str, opid: str) -> Column:
-    cond = F.col(pid) == F.col(opid)
-    for c in race:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
-    return cond
+    summ = summ.select("_pid", "_fk", F.col("_last.k").alias("_lk"), F.sum("_last.n").over(run).alias("_cum"))
+    seq = Window.orderBy("_pid")
+    offsets = summ.select(
+        "_pid",
+        "_fk",
+        F.when(F.lag("_lk").over(seq).eqNullSafe(F.col("_fk")), F.lag("_cum").over(seq))
+        .otherwise(F.lit(0))
+        .alias("_off"),
+    )
+    j = s.join(F.broadcast(offsets), "_pid")
+    number = F.col("_lrn") + F.when(key.eqNullSafe(F.col("_fk")), F.col("_off")).otherwise(F.lit(0))
+    return j.select(*out_cols, number.cast("bigint").alias(name))
+
+
+def ordered_rank(
+    df: DataFrame, race: list[str], order: list[Column], name: str, partitions: int | None = None
+) -> DataFrame:
+    """Add ``name`` = 1-based row number of each row inside its race under
+    ``order`` (which should be total; ties otherwise get an arbitrary order)."""
+    return row_numbers(df, list(race), order, name, partitions)
 
 
 def rank_race_time(

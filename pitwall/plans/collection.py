@@ -7,7 +7,7 @@ pairs), the event label and the driver's classified position.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.operators.joins import asof_nearest, join_small
@@ -53,27 +53,30 @@ def session_results(laps: DataFrame) -> DataFrame:
 
 def with_classified_position(laps: DataFrame) -> DataFrame:
     """Attach grid_position: the driver's last non-NULL position in lap order
-    over the whole session (every lap counts). A window aggregate over the
-    lap partition (year, round, session_type, driver), the key laps are
-    already clustered on, so no second pass or join over the laps is needed."""
-    pos = F.col("position")
-    whole = Window.partitionBy(*LAP_PARTITION)
-    return laps.withColumn(
-        "grid_position",
-        F.when(
-            F.col("driver").isNotNull(),
-            F.max_by(pos, F.when(pos.isNotNull(), F.col("lap_number"))).over(whole),
-        ),
+    over the whole session (every lap counts).
+
+    The per driver-session result is an aggregate (reduced map-side, so a
+    hot session is never one task) joined back null-safely on the lap
+    partition. AQE picks the join from the aggregate's runtime size:
+    broadcast when small, else sort-merge with skewed partitions split.
+    """
+    res = session_results(laps).select(
+        *[F.col(c).alias(f"_r_{c}") for c in LAP_PARTITION], "grid_position"
     )
+    cond = None
+    for c in LAP_PARTITION:
+        eq = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        cond = eq if cond is None else cond & eq
+    return laps.join(res, cond, "left").drop(*[f"_r_{c}" for c in LAP_PARTITION])
 
 
 def session_dim(laps: DataFrame, supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """Laps of the collected sessions with event name, driver and team names
     and the driver's classified position.
 
-    The classified position is a window over the lap partition (no second
-    pass over the laps); driver and team names come from the dimensions
-    through counted-broadcast joins (a shuffle join if a dimension is large).
+    The classified position is an aggregate joined back; driver and team
+    names come from the dimensions through counted-broadcast joins (a
+    shuffle join if a dimension is large).
     """
     sess = with_classified_position(laps.filter(F.col("session_type").isin(SESSION_TYPES)))
     drivers = supplier.select(F.col("s_suppkey").alias("driver"), F.col("s_name").alias("driver_name"))
@@ -110,10 +113,9 @@ def lap_records(laps: DataFrame, weather: DataFrame) -> DataFrame:
     """The collected lap log (one record per accurate lap of the collected
     sessions) with nearest weather, event label and classified position.
 
-    The classified position is a window aggregate over the lap partition
-    (year, round, session_type, driver), the key the laps are already
-    clustered on, taken before the accuracy filter (results count every lap):
-    the lap log is scanned and shuffled once.
+    The classified position is an aggregate per driver-session joined back
+    (see :func:`with_classified_position`), taken before the accuracy filter
+    (results count every lap).
     """
     sess = with_classified_position(laps.filter(F.col("session_type").isin(SESSION_TYPES)))
     acc = accurate_laps(sess)

@@ -13,9 +13,10 @@ DuckDB oracle. Both must produce identical rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitwall.operators.rank import row_numbers
 from pitwall.sources.tables import read_table
 
 LAP_PARTITION = ["year", "round", "session_type", "driver"]
@@ -28,7 +29,8 @@ def _days_into_quarter(ts) -> F.Column:
 
 
 def lap_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per lap with lap_number numbered inside each driver-session."""
+    """One row per lap with lap_number numbered inside each driver-session
+    (the numbered view is checkpointed: landed lap logs carry the number)."""
     li = read_table(spark, sf_dir, "lineitem")
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     ln = F.col("l_linenumber")
@@ -74,10 +76,12 @@ def lap_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("rf"),
         F.col("l_linestatus").alias("ls"),
     )
-    w = Window.partitionBy(*LAP_PARTITION).orderBy(*_ORDER_HELPERS)
-    return base.withColumn("lap_number", F.row_number().over(w).cast("int")).drop(
-        *_ORDER_HELPERS
+    # row_number per driver-session without a window over a whole session
+    # (a session may hold a large share of all laps): see rank.row_numbers
+    numbered = row_numbers(
+        base, LAP_PARTITION, [F.col(c) for c in _ORDER_HELPERS], "lap_number", drop=tuple(_ORDER_HELPERS)
     )
+    return numbered.withColumn("lap_number", F.col("lap_number").cast("int"))
 
 
 def weather_view(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,3 +115,36 @@ def test_rank_hot_race_spread_over_partitions(spark):
     assert [r.r for r in hot] == list(range(1, 601))
     assert [(r.p, r.driver) for r in hot] == sorted((r.p, r.driver) for r in hot)
     assert {r.driver: r.r for r in got if r.round != 1} == {"solo": 1, "nullrace": 1}
+
+
+def test_row_numbers_equal_window_row_number_on_a_hot_group(spark):
+    """Exact per-group row numbers with one group holding a third of the rows,
+    NULL keys and small Arrow batches (runs continue across batches and
+    across partitions)."""
+    from pyspark.sql import Window
+
+    from pitwall.operators.rank import row_numbers
+
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1))
+        .when(F.col("id") % 11 == 0, F.lit(None))
+        .otherwise(F.col("id") % 40)
+        .cast("int")
+        .alias("k1"),
+        F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.lit("a")).alias("k2"),
+        (F.col("id") * 7919 % 5003).alias("o"),
+        "id",
+    )
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = row_numbers(df, ["k1", "k2"], [F.col("o"), F.col("id")], "rn", partitions=16)
+        exp = df.withColumn(
+            "rn", F.row_number().over(Window.partitionBy("k1", "k2").orderBy("o", "id")).cast("bigint")
+        )
+        assert got.count() == 3000
+        assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+        spread = got.filter(F.col("k1") == 1).select(F.spark_partition_id()).distinct().count()
+        assert spread > 1  # the hot group is not one task
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
