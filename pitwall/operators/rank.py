@@ -23,6 +23,10 @@ from pyspark.sql import types as T
 
 RACE = ["year", "round"]
 
+# Largest group a plain window may hold in one task; a larger group (a hot
+# key) is numbered by the distributed path of :func:`row_numbers`.
+WINDOW_MAX_GROUP_ROWS = 1_000_000
+
 
 def _local_numberer(keys: list[str]):
     """mapInArrow body: per sorted partition, append the partition id, the
@@ -121,12 +125,35 @@ def row_numbers(
     return j.select(*out_cols, number.cast("bigint").alias(name))
 
 
+def number_rows(
+    df: DataFrame,
+    keys: list[str],
+    order: list[Column],
+    name: str,
+    drop: tuple[str, ...] = (),
+    max_group_rows: int = WINDOW_MAX_GROUP_ROWS,
+) -> DataFrame:
+    """``row_number() over (partition by keys order by ...)`` behind a size
+    check: the largest group is counted first (a partial aggregate, one row
+    per group before the max). Up to ``max_group_rows`` the plain window is
+    used (one hash exchange, prunable when the number is unused); above it,
+    the distributed :func:`row_numbers`."""
+    biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if biggest > max_group_rows:
+        return row_numbers(df, keys, order, name, drop=drop)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(w).cast("bigint")).drop(*drop)
+
+
 def ordered_rank(
     df: DataFrame, race: list[str], order: list[Column], name: str, partitions: int | None = None
 ) -> DataFrame:
     """Add ``name`` = 1-based row number of each row inside its race under
-    ``order`` (which should be total; ties otherwise get an arbitrary order)."""
-    return row_numbers(df, list(race), order, name, partitions)
+    ``order`` (which should be total; ties otherwise get an arbitrary order).
+    ``partitions`` forces the distributed path over that many partitions."""
+    if partitions:
+        return row_numbers(df, list(race), order, name, partitions)
+    return number_rows(df, list(race), order, name)
 
 
 def rank_race_time(

@@ -56,18 +56,14 @@ def with_classified_position(laps: DataFrame) -> DataFrame:
     over the whole session (every lap counts).
 
     The per driver-session result is an aggregate (reduced map-side, so a
-    hot session is never one task) joined back null-safely on the lap
-    partition. AQE picks the join from the aggregate's runtime size:
-    broadcast when small, else sort-merge with skewed partitions split.
+    hot session is never one task) joined back on the lap partition
+    (collected sessions always carry year, round and session type). AQE
+    picks the join from the aggregate's runtime size: broadcast when small,
+    else sort-merge with skewed partitions split.
     """
-    res = session_results(laps).select(
-        *[F.col(c).alias(f"_r_{c}") for c in LAP_PARTITION], "grid_position"
-    )
-    cond = None
-    for c in LAP_PARTITION:
-        eq = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-        cond = eq if cond is None else cond & eq
-    return laps.join(res, cond, "left").drop(*[f"_r_{c}" for c in LAP_PARTITION])
+    # equi-join on the lap partition: both sides are already hash-partitioned
+    # on it when the laps come from a lap-keyed stage, so no exchange is added
+    return laps.join(session_results(laps), LAP_PARTITION, "left")
 
 
 def session_dim(laps: DataFrame, supplier: DataFrame, nation: DataFrame) -> DataFrame:

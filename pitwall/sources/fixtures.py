@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.operators.rank import row_numbers
+from pitwall.operators.rank import number_rows
 from pitwall.sources.tables import read_table
 
 LAP_PARTITION = ["year", "round", "session_type", "driver"]
@@ -29,8 +29,7 @@ def _days_into_quarter(ts) -> F.Column:
 
 
 def lap_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per lap with lap_number numbered inside each driver-session
-    (the numbered view is checkpointed: landed lap logs carry the number)."""
+    """One row per lap with lap_number numbered inside each driver-session."""
     li = read_table(spark, sf_dir, "lineitem")
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     ln = F.col("l_linenumber")
@@ -76,9 +75,9 @@ def lap_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("rf"),
         F.col("l_linestatus").alias("ls"),
     )
-    # row_number per driver-session without a window over a whole session
-    # (a session may hold a large share of all laps): see rank.row_numbers
-    numbered = row_numbers(
+    # row_number per driver-session; a session holding more laps than one
+    # task should window is numbered by the distributed path (rank.number_rows)
+    numbered = number_rows(
         base, LAP_PARTITION, [F.col(c) for c in _ORDER_HELPERS], "lap_number", drop=tuple(_ORDER_HELPERS)
     )
     return numbered.withColumn("lap_number", F.col("lap_number").cast("int"))
