@@ -131,15 +131,17 @@ def number_rows(
     order: list[Column],
     name: str,
     drop: tuple[str, ...] = (),
-    max_group_rows: int = WINDOW_MAX_GROUP_ROWS,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """``row_number() over (partition by keys order by ...)`` behind a size
     check: the largest group is counted first (a partial aggregate, one row
     per group before the max). Up to ``max_group_rows`` the plain window is
     used (one hash exchange, prunable when the number is unused); above it,
-    the distributed :func:`row_numbers`."""
+    the distributed :func:`row_numbers`. The default limit is read from
+    ``WINDOW_MAX_GROUP_ROWS`` at call time."""
+    limit = WINDOW_MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
     biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if biggest > max_group_rows:
+    if biggest > limit:
         return row_numbers(df, keys, order, name, drop=drop)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w).cast("bigint")).drop(*drop)

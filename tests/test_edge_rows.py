@@ -217,3 +217,33 @@ def test_all_null_lap_times(spark):
     assert a.race_avg_lap is None and a.race_std_lap is None
     assert a.pct_caution_laps == 0.0
     assert b.race_avg_lap == pytest.approx(91.0) and b.race_std_lap == pytest.approx(2 ** 0.5)
+
+
+def test_distributed_numbering_paths_are_exact(spark, sf_small):
+    """With the window limit at 0 every numbering takes the distributed path:
+    stint counts across gapped lap blocks and the fixture lap numbering stay
+    equal to the window results."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    import pitwall.operators.race as R
+    import pitwall.operators.rank as K
+    from pitwall.sources import fixtures as FX
+
+    seq = ["S", "S", None, "M", "M", "M", "H", None, None, "H", "S"]
+    gaps = [1, 2, 3, 5, 8, 9, 13, 14, 20, 21, 40]
+    laps = laps_df(spark, [lap("A", n, comp=c) for n, c in zip(gaps, seq)])
+    expected = 1 + sum(1 for a, b in zip(seq, seq[1:]) if a is None or b is None or a != b)
+    window_laps = FX.lap_view(spark, sf_small)
+    default_block, default_limit = R.LAP_BLOCK, K.WINDOW_MAX_GROUP_ROWS
+    try:
+        K.WINDOW_MAX_GROUP_ROWS = 0
+        for block in (1, 3, 128):
+            R.LAP_BLOCK = block
+            got = R.stint_counts(R.block_summaries(laps, ["s", "m", "h"])).first().num_stops
+            assert got == expected, block
+        dist_laps = FX.lap_view(spark, sf_small)
+        assert dist_laps.count() == window_laps.count()
+        assert dist_laps.exceptAll(window_laps).count() == 0
+    finally:
+        R.LAP_BLOCK, K.WINDOW_MAX_GROUP_ROWS = default_block, default_limit
