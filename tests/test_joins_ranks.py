@@ -148,3 +148,21 @@ def test_row_numbers_equal_window_row_number_on_a_hot_group(spark):
         assert spread > 1  # the hot group is not one task
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_asof_hot_key_on_distributed_numbering(spark):
+    """With the window limit at 0 the right side's neighbours come from the
+    distributed row numbering; results still equal the brute force."""
+    import pitwall.operators.rank as K
+
+    rng = random.Random(11)
+    left = [(rng.choice(["a", "a", "b"]), i, float(rng.randint(0, 300))) for i in range(200)]
+    right = [(rng.choice(["a", "a", "a", "b"]), 2000 + i, float(rng.randint(0, 300)), "v") for i in range(150)]
+    exp = brute(left, right)
+    default = K.WINDOW_MAX_GROUP_ROWS
+    try:
+        K.WINDOW_MAX_GROUP_ROWS = 0
+        got = _asof(spark, left, right, 10.0)
+    finally:
+        K.WINDOW_MAX_GROUP_ROWS = default
+    assert {k: v.rid for k, v in got.items()} == exp
