@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.operators.rank import number_rows
+from pitwall.operators.rank import prev_next
 
 # Upper bound on rows shipped to every executor by ``join_small``. Above it the
 # join stays a shuffle join (sort-merge, with AQE splitting skewed partitions).
@@ -61,9 +61,9 @@ def asof_nearest(
     candidates of its bucket):
       1. right rows are reduced to one per (key, time) (lowest id wins);
       2. each right row learns its previous and next right time: the key's
-         distinct times are numbered in time order (``number_rows``: a window
+         previous / next distinct time comes from ``prev_next`` (a window
          only while the key's group is within the size limit, else the
-         distributed numbering) and neighbours join on (key, index -+ 1);
+         distributed numbering and joins on (key, index -+ 1));
       3. each right row becomes the interval of times it wins and is exploded
          over the buckets from its previous to its next neighbour (the ends
          are clamped to the span of the key's left rows);
@@ -92,25 +92,10 @@ def asof_nearest(
         r = r.filter(F.col(k).isNotNull())
     r = r.groupBy(*by, "_t").agg(F.min_by("_rp", F.col("_rid")).alias("_rp"))
 
-    # 2. neighbours: each key's distinct times are numbered in time order
-    #    (size-checked row numbering, no window over a hot key), and the
-    #    previous / next time come from equi-joins on (key, index -+ 1)
-    r = number_rows(r, list(by), [F.col("_t")], "_i")
-    nkeys = [f"_n{i}" for i in range(len(by))]
-    nb = r.select(*[F.col(k).alias(a) for k, a in zip(by, nkeys)], "_i", F.col("_t").alias("_nbt"))
-
-    def neighbour(step: int, name: str) -> DataFrame:
-        side = nb.select(*nkeys, (F.col("_i") - step).alias("_at"), F.col("_nbt").alias(name))
-        on = [F.col("_i") == F.col("_at")] + [F.col(k) == F.col(a) for k, a in zip(by, nkeys)]
-        cond = on[0]
-        for c in on[1:]:
-            cond = cond & c
-        return side, cond
-
-    prev, pcond = neighbour(-1, "_pt")
-    r = r.join(prev, pcond, "left").drop(*nkeys, "_at")
-    nxt, ncond = neighbour(1, "_nt")
-    r = r.join(nxt, ncond, "left").select(*by, "_t", "_rp", "_pt", "_nt")
+    # 2. neighbours: previous / next distinct time of the key (size-checked:
+    #    a window while the key's group fits one task, else the distributed
+    #    numbering and equi-joins on (key, index -+ 1))
+    r = prev_next(r, list(by), "_t", "_t", "_pt", "_nt").select(*by, "_t", "_rp", "_pt", "_nt")
 
     # 3. winning intervals exploded over buckets, clamped to the left span
     lt = _epoch_micros(F.col(left_time), lt_type)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from pitwall.functions import caution_flag, is_true, normalise_nan, rain_flag, to_seconds
 from pitwall.operators.joins import join_small
-from pitwall.operators.rank import number_rows
+from pitwall.operators.rank import prev_next
 
 LAP_PARTITION = ["year", "round", "session_type", "driver"]
 RACE_KEYS = ["year", "round", "driver"]
@@ -121,28 +121,20 @@ def block_summaries(laps: DataFrame, compounds: list[str]) -> DataFrame:
 def stint_counts(blocks: DataFrame) -> DataFrame:
     """Compound runs per driver-session (the first lap counts as a change).
 
-    Changes inside blocks add up. Across blocks, each non-empty block gets
-    its index in the session (size-checked row numbering), and an equi-join
-    on (session, index - 1) finds the previous non-empty block: one change
+    Changes inside blocks add up. Across blocks, the previous non-empty
+    block comes from ``prev_next`` (a window only while a session's block
+    rows fit one task, else numbering + an equi-join on index - 1): one change
     where a block's first compound differs from the previous block's last
-    (NULL next to anything counts), and one for the first block. No window
-    spans a whole session.
+    (NULL next to anything counts), and one for the first block. A window
+    spans a session's block rows only after their count was checked.
     """
     per_block = blocks.groupBy(*LAP_PARTITION, "_blk").agg(
         F.sum("_inner").alias("_inner"),
         F.min_by("_firstc", F.col("_firstc.o")).alias("_first"),
         F.max_by("_lastc", F.col("_lastc.o")).alias("_last"),
     )
-    numbered = number_rows(per_block, LAP_PARTITION, [F.col("_blk")], "_bi")
-    prev = numbered.select(
-        *[F.col(c).alias(f"_p_{c}") for c in LAP_PARTITION],
-        (F.col("_bi") + 1).alias("_p_bi"),
-        F.col("_last.v").alias("_plast"),
-    )
-    cond = F.col("_bi") == F.col("_p_bi")
-    for c in LAP_PARTITION:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
-    joined = numbered.join(prev, cond, "left")
+    per_block = per_block.withColumn("_lastv", F.col("_last.v"))
+    joined = prev_next(per_block, LAP_PARTITION, "_blk", "_lastv", prev_name="_plast")
     edge = F.coalesce(~(F.col("_plast") == F.col("_first.v")), F.lit(True)).cast("int")
     runs = joined.select(*LAP_PARTITION, (F.coalesce(F.col("_inner"), F.lit(0)) + edge).alias("_runs"))
     return runs.groupBy(*LAP_PARTITION).agg(F.sum("_runs").alias("num_stops"))

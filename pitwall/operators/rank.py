@@ -190,3 +190,47 @@ def rank_final_position(
         *[F.col(c).asc_nulls_last() for c in tiebreak],
     ]
     return ordered_rank(scored, list(race), order, "pred_final_position")
+
+
+def prev_next(
+    df: DataFrame,
+    keys: list[str],
+    order: str,
+    value: str,
+    prev_name: str | None = None,
+    next_name: str | None = None,
+    max_group_rows: int | None = None,
+) -> DataFrame:
+    """Previous / next ``value`` in ``order`` inside each group of ``keys``
+    (NULL at the ends; ``order`` should be unique inside a group).
+
+    Size-checked like :func:`number_rows`: ``lag``/``lead`` over a window
+    while the largest group is within the limit; above it the rows are
+    numbered by the distributed path and neighbours come from equi-joins on
+    (keys, index -+ 1), null-safe on the keys."""
+    limit = WINDOW_MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
+    biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if biggest <= limit:
+        w = Window.partitionBy(*keys).orderBy(order)
+        extra = []
+        if prev_name:
+            extra.append(F.lag(value).over(w).alias(prev_name))
+        if next_name:
+            extra.append(F.lead(value).over(w).alias(next_name))
+        return df.select("*", *extra)
+    cols = df.columns
+    out = row_numbers(df, keys, [F.col(order)], "_nb_i")
+    nkeys = [f"_nb_k{i}" for i in range(len(keys))]
+    for step, name in ((-1, prev_name), (1, next_name)):
+        if not name:
+            continue
+        side = out.select(
+            *[F.col(k).alias(a) for k, a in zip(keys, nkeys)],
+            (F.col("_nb_i") - step).alias("_nb_at"),
+            F.col(value).alias(name),
+        )
+        cond = F.col("_nb_i") == F.col("_nb_at")
+        for k, a in zip(keys, nkeys):
+            cond = cond & F.col(k).eqNullSafe(F.col(a))
+        out = out.join(side, cond, "left").drop(*nkeys, "_nb_at")
+    return out.select(*cols, *[n for n in (prev_name, next_name) if n])
