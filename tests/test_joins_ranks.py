@@ -166,3 +166,27 @@ def test_asof_hot_key_on_distributed_numbering(spark):
     finally:
         K.WINDOW_MAX_GROUP_ROWS = default
     assert {k: v.rid for k, v in got.items()} == exp
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_prev_next_equals_lag_lead(spark, limit):
+    """Both paths of prev_next (window, and numbering + index joins) equal
+    lag/lead, with NULL keys and a hot key."""
+    from pyspark.sql import Window
+
+    from pitwall.operators.rank import prev_next
+
+    df = spark.range(2000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("hot"))
+        .when(F.col("id") % 13 == 0, F.lit(None))
+        .otherwise((F.col("id") % 9).cast("string"))
+        .alias("k"),
+        (F.col("id") * 7919 % 100003).alias("t"),
+        (F.col("id") % 5).cast("double").alias("v"),
+    )
+    got = prev_next(df, ["k"], "t", "v", "pv", "nv", max_group_rows=limit)
+    w = Window.partitionBy("k").orderBy("t")
+    exp = df.select("*", F.lag("v").over(w).alias("pv"), F.lead("v").over(w).alias("nv"))
+    assert got.columns == exp.columns
+    assert got.count() == 2000
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
