@@ -223,9 +223,6 @@ def test_distributed_numbering_paths_are_exact(spark, sf_small):
     """With the window limit at 0 every numbering takes the distributed path:
     stint counts across gapped lap blocks and the fixture lap numbering stay
     equal to the window results."""
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
     import pitwall.operators.race as R
     import pitwall.operators.rank as K
     from pitwall.sources import fixtures as FX
