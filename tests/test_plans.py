@@ -51,3 +51,22 @@ def test_lap_records_has_no_cartesian(spark, sf_small):
     plan = plan_of(rec)
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert "PythonUDF" not in plan
+
+
+def test_number_rows_picks_window_or_distributed_path(spark):
+    """Bounded groups: a plain window, no Python. Over the limit: no window
+    over the groups; the Arrow numbering is behind the checkpoint and the
+    offsets (one row per partition) are broadcast."""
+    from pyspark.sql import functions as F
+
+    from pitwall.operators.rank import number_rows
+
+    df = spark.range(500).select((F.col("id") % 3).alias("k"), F.col("id").alias("o"))
+    small = plan_of(number_rows(df, ["k"], [F.col("o")], "rn"))
+    assert "Window" in small and "MapInArrow" not in small and "PythonUDF" not in small
+    big = number_rows(df, ["k"], [F.col("o")], "rn", max_group_rows=10)
+    plan = plan_of(big)
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    windows = [ln for ln in plan.splitlines() if "Window [" in ln or ln.strip().startswith("Window")]
+    assert all("_pid" in ln or "_last" in ln for ln in windows), windows  # summary rows only
+    assert sorted(r.rn for r in big.filter("k = 0").collect()) == list(range(1, 168))
