@@ -186,12 +186,17 @@ class Encoder:
     def __init__(self, merge: Callable[[list[bytes]], list[list[int]]]):
         self.merge, self.cache, self.hash = merge, {}, Hasher()
 
-    def ids_of(self, pieces: list[bytes]) -> list[np.ndarray]:
+    def ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each distinct piece, as the bytes of 32-bit numbers."""
         if len(self.cache) > CACHED_PIECES:
             self.cache.clear()
-        new = list(dict.fromkeys(p for p in pieces if p not in self.cache))
-        for p, ids in zip(new, self.merge(new)):
-            self.cache[p] = np.array(ids, np.int32)
+        new = [p for p in pieces if p not in self.cache]
+        if new:
+            merged = self.merge(new)
+            sizes = np.cumsum([0, *map(len, merged)]).tolist()
+            raw = np.array([i for ids in merged for i in ids], np.int32).tobytes()
+            for p, a, b in zip(new, sizes, sizes[1:]):
+                self.cache[p] = raw[4 * a : 4 * b]
         return [self.cache[p] for p in pieces]
 
     def __call__(self, run: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -219,12 +224,11 @@ class Encoder:
         else:
             distinct = [raw[b:e] for b, e in zip(begin[first].tolist(), end[first].tolist())]
         ids = self.ids_of(distinct)
-        sizes = np.array([len(i) for i in ids])
-        flat, where = np.concatenate(ids), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        flat, where = np.frombuffer(b"".join(ids), np.int32), np.cumsum(sizes) - sizes
         count = sizes[which]
         before = np.cumsum(count) - count
-        total = int(count.sum())
-        out = flat[np.repeat(where[which] - before, count) + np.arange(total)]
+        out = flat[np.repeat(where[which] - before, count) + np.arange(int(count.sum()))]
         per_doc = np.bincount(doc, weights=count, minlength=len(run)).astype(np.int64)
         return out, np.concatenate([[0], np.cumsum(per_doc)])
 
@@ -261,16 +265,18 @@ def rank_merger(ranks: dict[bytes, int]) -> Callable[[list[bytes]], list[list[in
     return lambda pieces: [own._core_bpe.encode_single_piece(p) for p in pieces]
 
 
-def json_merger(path: str) -> Callable[[list[bytes]], list[list[int]]]:
-    """Pair merging of single pieces by the tokenizers library."""
-    import os
+def json_ranks(path: str) -> dict[bytes, int]:
+    """Ranks of a byte-level BPE file of the tokenizers library, whose ids are
+    in merge order. Its tokens write each byte as a printable character: the
+    byte's own where that is printable, else 256 and up in byte order."""
+    import json
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True  # their strings in a text are ordinary text
-    return lambda pieces: [e.ids for e in own.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f)["model"]["vocab"]
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in plain}
+    byte_of |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in byte_of.values())}
+    return {bytes(byte_of[c] for c in t): i for t, i in tokens.items() if all(c in byte_of for c in t)}
 
 
 def vocabulary(ranks: dict[bytes, int]) -> list[bytes]:

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.bpe import Encoder, encoded_runs, json_merger
+from pitwall.llm.bpe import Encoder, encoded_runs, json_ranks, rank_merger
 from pitwall.llm.common import numbered, save
 
 WINDOW = 2048
@@ -44,7 +44,7 @@ def _counter(vocabulary: str, window: int):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder = Encoder(json_merger(vocabulary))
+        encoder = Encoder(rank_merger(json_ranks(vocabulary)))
         split = TaskContext.get().partitionId() << 40
         row, full = 0, 0
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.binary()]

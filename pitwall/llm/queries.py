@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pitwall.llm import bpe, exact_dedup, license_scan, packing, secret_scan, url_filter, warc
+from pitwall.llm import bpe, exact_dedup, jaccard_join, license_scan, packing, quality, secret_scan, url_filter, warc
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
     "op3_url_filter": url_filter.query,
+    "op4_mcd_quality": quality.query,
     "op5_exact_dedup": exact_dedup.query,
     "op6_byte_bpe": bpe.query,
     "op7_nnls_packing": packing.query,
+    "op8_jaccard_join": jaccard_join.query,
     "op9_secret_scan": secret_scan.query,
     "op10_warc_fixity": warc.query,
 }
