@@ -10,14 +10,15 @@ to verify). A pair is verified on whole texts when it shares min(l, l')
 shingles of the two prefixes.
 
 The order needs no exact frequencies, only the same order everywhere: frequent
-shingles (in one document of 2,000 or more, counted split by split) go last by
-frequency, all others by hash. At most 2,000 times the mean set size can be
-that frequent, which bounds the list sent to the executors.
+shingles (in one document of ``FREQUENT`` or more, counted split by split) go last by
+frequency, all others by hash. At most ``FREQUENT`` times the mean set size can
+be that frequent, which bounds the list sent to the executors.
 
 Equal sets are one class and are joined once. Large groups of near copies are
 not expanded into all pairs: in each posting list documents are first verified
-against one pivot (``STARS`` rounds with different pivots), components are
-formed, and then all candidate pairs whose documents still are in different
+against one pivot (``STARS`` rounds with different pivots, first the document
+whose prefix has the longest posting lists, as an original has among its
+edited copies), components are formed, and then all candidate pairs whose documents still are in different
 components are verified. So every link between different components is tested
 and the components are exact.
 
@@ -40,12 +41,12 @@ from pitwall.llm.components import components
 
 K = 5
 PERCENT = 80
-FREQUENT = 2000
+FREQUENT = 8000
 MOST = 4  # the longest prefix extension that is considered
-STARS = 2
+STARS = 3
 RUN_CHARS = 1_500_000
 #: Shingles counted together, and the count from which a split reports one.
-COUNTED, REPORTED = 4_000_000, 4
+COUNTED, REPORTED = 4_000_000, 2
 #: Cost of verifying a candidate against that of reading a posting.
 VERIFY = 20
 
@@ -233,8 +234,9 @@ def _adaptive(tokens: DataFrame, percent: int) -> DataFrame:
     cost = [F.struct((F.col(f"c{i}") * (1 + VERIFY / i)).alias("cost"), F.lit(i).alias("l")) for i in range(1, MOST + 1)]
     most = F.expr(f"(n * {percent} + 99) div 100")
     cost = F.filter(F.array(*cost), lambda c: c["l"] <= most)
-    chosen = costs.select("_rid", F.array_min(cost)["l"].alias("l"))
-    return counted.join(chosen, "_rid").where(F.col("place") < base + F.col("l")).select("token", "_rid", "n", "l")
+    chosen = costs.select("_rid", F.array_min(cost)["l"].alias("l"), (F.col(f"c{MOST}") / F.col("n")).alias("score"))
+    kept = counted.join(chosen, "_rid").where(F.col("place") < base + F.col("l"))
+    return kept.select("token", "_rid", "n", "l", "score")
 
 
 def links(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -247,7 +249,7 @@ def links(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFram
     profile = seen.where("_rid is not null").select("_rid", "doc_id", "n", "digest")
     rows = profile.count()
     often = seen.where("_rid is null").groupBy("shingle").agg(F.sum("df").alias("df"))
-    often = often.where(F.col("df") >= max(2 * REPORTED, rows // FREQUENT)).toPandas()
+    often = often.where(F.col("df") >= max(8, rows // FREQUENT)).toPandas()
     shingles = often["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(shingles)
     body = _prefixes(k, percent, shingles[order], often["df"].to_numpy(np.int64)[order])
@@ -274,8 +276,9 @@ def links(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFram
     edges, roots = None, None
     for star in range(STARS):
         here = postings if roots is None else _rooted(postings, roots)
+        first, hashed = (F.lit(0.0) if star else -F.col("score")), F.xxhash64("_rid", F.lit(star))
         pivot = here.groupBy("token").agg(
-            F.min(F.struct(F.xxhash64("_rid", F.lit(star)).alias("h"), F.col("_rid").alias("v"), F.col("n").alias("pn"))).alias("p"),
+            F.min(F.struct(first.alias("o"), hashed.alias("h"), F.col("_rid").alias("v"), F.col("n").alias("pn"))).alias("p"),
             *([F.min("root").alias("_lo"), F.max("root").alias("_hi")] if roots is not None else []),
         )
         if roots is not None:

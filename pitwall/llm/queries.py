@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pitwall.llm import bpe, exact_dedup, jaccard_join, license_scan, packing, quality, secret_scan, url_filter, warc
+from pitwall.llm import bpe, exact_dedup, jaccard_join, license_scan, packing, quality, secret_scan, suffix_dedup, url_filter, warc
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
+    "op2_suffix_dedup": suffix_dedup.query,
     "op3_url_filter": url_filter.query,
     "op4_mcd_quality": quality.query,
     "op5_exact_dedup": exact_dedup.query,
