@@ -65,6 +65,20 @@ def texts(batches: Iterator, run_chars: int = 4_000_000) -> Iterator[tuple[list,
             yield out, run
 
 
+def row_id(name: str = "_rid"):
+    """The place of a row in its input split, as the operators' Arrow passes
+    count it. The same for every read of a stored table."""
+    place = F.monotonically_increasing_id()
+    return (F.shiftleft(F.shiftright(place, 33), 40) + place.bitwiseAND((1 << 33) - 1)).alias(name)
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of the stored table ``docs`` whose place is not in ``dropped``."""
+    rows = docs.select(F.struct("*").alias("_row"), row_id("_place"))
+    gone = dropped.select(F.col("_rid").alias("_gone"))
+    return rows.join(gone, F.col("_place") == F.col("_gone"), "left_anti").select("_row.*")
+
+
 def _numberer(n_keys: int, weight: bool):
     """mapInArrow body over sorted partitions. Columns: the keys, then (if
     ``weight``) a long weight, then the carried columns. Adds the partition id

@@ -97,7 +97,8 @@ def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept,
+    text_sha256, and _rid (the row's place)."""
     ids = save(identities(docs, block_bytes), "identities")
     best = F.max(F.struct("doc_id", "_rid")).alias("_keep")
     groups = ids.groupBy("_round", "_name").agg(best, F.count(F.lit(1)).alias("group_size"))
@@ -107,13 +108,14 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         "group_size",
         (F.col("_rid") == F.col("_keep._rid")).alias("kept"),
         "text_sha256",
+        "_rid",
     )
 
 
 def query(spark, sf_dir):
     from pitwall.llm.common import table
 
-    return exact_dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup(table(spark, sf_dir, "documents")).drop("_rid")
 
 
 ORACLE = """

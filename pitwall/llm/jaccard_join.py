@@ -307,7 +307,7 @@ def _rooted(postings: DataFrame, roots: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the least
-    doc_id reachable by links) and kept (one row of each component)."""
+    doc_id reachable by links), kept (one row of each component) and _rid."""
     profile, roots = links(docs, k, percent)
     classes = profile.where("n > 0").groupBy("digest").agg(F.min("_rid").alias("u"))
     classes = classes.join(roots, "u", "left").select("digest", F.coalesce("root", "u").alias("root"))
@@ -319,10 +319,11 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
         F.col("n").alias("n_shingles"),
         F.col("_least.doc_id").alias("component_id"),
         (F.col("_rid") == F.col("_least._rid")).alias("kept"),
+        "_rid",
     )
 
 
 def query(spark, sf_dir):
     from pitwall.llm.common import table
 
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("kept")
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("kept", "_rid")

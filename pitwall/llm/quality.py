@@ -26,12 +26,13 @@ empty table gives no rows. Only the named columns are read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import save
+from pitwall.llm.common import row_id, save
 
 P = 5
+PAIRS = [(i, k) for i in range(P) for k in range(i + 1)]
 SCALE = 1000
 H = 0.75
 #: H / P(chi2 with P + 2 degrees <= chi2 quantile H with P degrees): makes the
@@ -112,32 +113,28 @@ def transformed() -> list[Column]:
     return [F.floor(v * SCALE + 0.5).cast("bigint").alias(f"x{i}") for i, v in enumerate(x)]
 
 
-def _inverse_root(fit: DataFrame, cov: dict[tuple[int, int], Column]) -> DataFrame:
-    """Adds w_ik, the inverse of the Cholesky root of the covariance ``cov``."""
-    fit = fit.withColumns({f"c{i}{k}": cov[i, k] for i in range(P) for k in range(i + 1)})
-    for i in range(P):
-        for k in range(i + 1):
-            v = F.col(f"c{i}{k}")
-            for j in range(k):
-                v = v - F.col(f"l{i}{j}") * F.col(f"l{k}{j}")
-            fit = fit.withColumn(f"l{i}{k}", F.sqrt(v) if i == k else v / F.col(f"l{k}{k}"))
-    for i in range(P):
+def _inverse_root(fit: DataFrame) -> DataFrame:
+    """Adds w_ik, the inverse of the Cholesky root of the covariance c_ik."""
+    for k in range(P):  # a column of the root at a time
+        rest = {i: f"c{i}{k}" + "".join(f" - l{i}{j} * l{k}{j}" for j in range(k)) for i in range(k, P)}
+        fit = fit.selectExpr("*", f"sqrt({rest[k]}) as l{k}{k}")
+        fit = fit.selectExpr("*", *[f"({rest[i]}) / l{k}{k} as l{i}{k}" for i in range(k + 1, P)])
+    for i in range(P):  # a row of its inverse at a time
+        row = []
         for k in range(i + 1):
-            v = F.lit(1.0) if i == k else F.lit(0.0)
-            for j in range(k, i):
-                v = v - F.col(f"l{i}{j}") * F.col(f"w{j}{k}")
-            fit = fit.withColumn(f"w{i}{k}", v / F.col(f"l{i}{i}"))
-    return fit.select("_g", "rows", *[f"m{i}" for i in range(P)], *[f"w{i}{k}" for i in range(P) for k in range(i + 1)])
+            terms = "".join(f" - l{i}{j} * w{j}{k}" for j in range(k, i))
+            row.append(f"({float(i == k)}D{terms}) / l{i}{i} as w{i}{k}")
+        fit = fit.selectExpr("*", *row)
+    return fit.select("_g", "rows", *[f"m{i}" for i in range(P)], *[f"w{i}{k}" for i, k in PAIRS])
 
 
-def _distance() -> Column:
-    total = F.lit(0.0)
+def _distance() -> str:
+    """The squared Mahalanobis distance, as SQL."""
+    rows = []
     for i in range(P):
-        y = F.lit(0.0)
-        for k in range(i + 1):
-            y = y + F.col(f"w{i}{k}") * (F.col(f"x{k}") / SCALE - F.col(f"m{k}"))
-        total = total + y * y
-    return total
+        y = " + ".join(f"w{i}{k} * (x{k} / {SCALE}D - m{k})" for k in range(i + 1))
+        rows.append(f"pow({y}, 2)")
+    return " + ".join(rows)
 
 
 def _groups(level: int) -> Column:
@@ -154,53 +151,53 @@ def fit_mcd(stats: DataFrame, steps: int = STEPS) -> DataFrame:
     rows = save(rows, "quality-rows")
     # exact percentiles of integers: the state is one count per distinct value
     start = rows.groupBy("_g").agg(
-        F.count(F.lit(1)).alias("rows"), *[F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q{i}") for i, x in enumerate(xs)]
-    ).where(F.col("rows") >= MIN_ROWS)
-    for i in range(P):
-        start = start.withColumn(f"m{i}", F.col(f"q{i}")[1] / SCALE)
-    spread = [(F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / (1.349 * SCALE) for i in range(P)]
-    cov = {(i, k): (spread[i] * spread[i] + FLOORS[i] ** 2 if i == k else F.lit(0.0)) for i in range(P) for k in range(i + 1)}
-    fit = save(_inverse_root(start, cov), "quality-fit")
+        F.expr("count(1) as rows"), *[F.expr(f"percentile({x}, array(0.25, 0.5, 0.75)) as q{i}") for i, x in enumerate(xs)]
+    )
+    spread = [f"pow((q{i}[2] - q{i}[0]) / {1.349 * SCALE}D, 2) + {FLOORS[i] ** 2}D as c{i}{i}" for i in range(P)]
+    start = start.where(F.col("rows") >= MIN_ROWS).selectExpr(
+        "*", *[f"q{i}[1] / {SCALE}D as m{i}" for i in range(P)], *spread, *[f"0D as c{i}{k}" for i, k in PAIRS if i != k]
+    )
+    fit = save(_inverse_root(start), "quality-fit")
+    names = ["n", *[f"s{i}" for i in range(P)], *[f"s{i}{k}" for i, k in PAIRS]]
+    of = ["1", *xs, *[f"x{i} * x{k}" for i, k in PAIRS]]
     for _ in range(steps):
-        cell = F.floor(F.log2(1 + _distance()) * BINS_PER_OCTAVE).cast("int").alias("_bin")
-        pairs = [(i, k) for i in range(P) for k in range(i + 1)]
-        binned = (
-            rows.join(fit, "_g")
-            .groupBy("_g", "rows", cell)
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                *[F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)],
-                *[F.sum(F.col(f"x{i}") * F.col(f"x{k}")).alias(f"s{i}{k}") for i, k in pairs],
-            )
-        )
-        nearer = Window.partitionBy("_g").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-        inner = binned.withColumn("_before", F.coalesce(F.sum("n").over(nearer), F.lit(0)))
-        inner = inner.where(F.col("_before") < F.ceil(F.col("rows") * H))
-        names = ["n", *[f"s{i}" for i in range(P)], *[f"s{i}{k}" for i, k in pairs]]
-        sums = inner.groupBy("_g", "rows").agg(*[F.sum(c).alias(c) for c in names])
-        for i in range(P):
-            sums = sums.withColumn(f"m{i}", F.col(f"s{i}") / F.col("n") / SCALE)
-        cov = {}
-        for i, k in pairs:
-            v = F.col(f"s{i}{k}") / F.col("n") / SCALE**2 - F.col(f"m{i}") * F.col(f"m{k}")
-            cov[i, k] = CONSISTENCY * v + (FLOORS[i] ** 2 if i == k else 0.0)
-        fit = save(_inverse_root(sums, cov), "quality-fit")
+        cell = F.expr(f"cast(floor(log2(1 + {_distance()}) * {BINS_PER_OCTAVE}) as int) as _bin")
+        binned = rows.join(fit, "_g").groupBy("_g", "rows", cell).agg(*[F.expr(f"sum({v}) as {c}") for c, v in zip(names, of)])
+        nearer = "sum(n) over (partition by _g order by _bin rows between unbounded preceding and 1 preceding)"
+        inner = binned.selectExpr("*", f"coalesce({nearer}, 0) as _before").where(f"_before < ceil(rows * {H}D)")
+        sums = inner.groupBy("_g", "rows").agg(*[F.expr(f"sum({c}) as {c}") for c in names])
+        sums = sums.selectExpr("*", *[f"s{i} / n / {SCALE}D as m{i}" for i in range(P)])
+        cov = [
+            f"{CONSISTENCY}D * (s{i}{k} / n / {SCALE**2}D - m{i} * m{k}) + {FLOORS[i] ** 2 if i == k else 0.0}D as c{i}{k}"
+            for i, k in PAIRS
+        ]
+        fit = save(_inverse_root(sums.selectExpr("*", *cov)), "quality-fit")
     return fit
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One row per row of ``docs`` (id, text, lang, source): the id, the base
-    counts, base_failed, distance (null where no fit is large enough), kept."""
-    stats = base_stats(docs, [id_col, "lang", "source"])
-    stats = save(stats.select("*", base_failed().alias("base_failed"), *transformed()), "quality-stats")
-    fit = fit_mcd(stats.where("not base_failed"))
+def scored(stats: DataFrame, fit: DataFrame) -> DataFrame:
+    """Adds distance and kept, by the finest fit that a row's groups have."""
     out = stats
-    for k in range(3):  # each level's fit, of which the finest that exists counts
+    for k in range(3):
         level = fit.select(F.col("_g").alias(f"_g{k}"), F.struct(*fit.columns[2:]).alias(f"_f{k}"))
         out = out.join(level, _groups(k) == F.col(f"_g{k}"), "left")
     out = out.withColumn("_f", F.coalesce("_f2", "_f1", "_f0")).select(*stats.columns, "_f.*")
-    out = out.withColumn("distance", _distance())
-    return out.select(
+    out = out.withColumn("distance", F.expr(_distance()))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF))
+
+
+def with_stats(docs: DataFrame, keep: list[str]) -> DataFrame:
+    return base_stats(docs, [*keep, "lang", "source"]).select("*", base_failed().alias("base_failed"), *transformed())
+
+
+def quality(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row per row of ``docs`` (id, text, lang, source): the id, the base
+    counts, base_failed, distance (null where no fit is large enough), kept,
+    and _rid (the row's place)."""
+    rows = docs.select(row_id(), id_col, "text", "lang", "source")
+    # stored first: a filter pushed below the statistics would repeat their expressions
+    stats = save(with_stats(rows, ["_rid", id_col]), "quality-stats")
+    return scored(stats, fit_mcd(stats.where("not base_failed"))).select(
         id_col,
         "n_words",
         "word_chars",
@@ -209,11 +206,12 @@ def quality(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         "n_repeat_words",
         "base_failed",
         "distance",
-        (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF)).alias("kept"),
+        "kept",
+        "_rid",
     )
 
 
 def query(spark, sf_dir):
     from pitwall.llm.common import table
 
-    return quality(table(spark, sf_dir, "documents")).withColumn("distance", F.round("distance", 3))
+    return quality(table(spark, sf_dir, "documents")).withColumn("distance", F.round("distance", 3)).drop("_rid")

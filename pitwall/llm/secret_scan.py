@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitwall.llm.common import texts
 
@@ -143,7 +144,12 @@ def secret_spans(
     """One row per row of ``docs``: the id, ``spans`` (start, kind number, end,
     found text) and ``redacted`` (the text with every span replaced by
     [SECRET]; null if there is none)."""
-    kind = docs.schema[id_col].dataType.simpleString()
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    id_type = to_arrow_type(docs.schema[id_col].dataType)
+    schema = T.StructType(
+        [docs.schema[id_col], *T._parse_datatype_string(f"spans {SPANS}, redacted string").fields]
+    )
 
     def run(batches):
         import pyarrow as pa
@@ -160,10 +166,7 @@ def secret_spans(
                 names=[id_col, "spans", "redacted"],
             )
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    id_type = to_arrow_type(docs.schema[id_col].dataType)
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, spans {SPANS}, redacted string")
+    return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
 def redact(text: str, hits: list[tuple[int, int, int]], mark: str = "[SECRET]") -> str:
