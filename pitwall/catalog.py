@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 from pitwall.functions import seconds_sql, text_to_seconds
 from pitwall.operators import quali as Q
 from pitwall.operators.clean import sparse_report
-from pitwall.operators.race import race_laps
 from pitwall.operators.season import season_trends
 from pitwall.plans import features as FP
 from pitwall.sources import fixtures as FX
@@ -419,10 +418,6 @@ ORACLE["sparse_columns"] = round_sql(
 )
 
 
-def race_laps_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return race_laps(laps_of(spark, sf_dir))
-
-
 # ---------------------------------------------------------------------------
 # Step 4: collection - as-of weather, session dimension, records, grid
 # ---------------------------------------------------------------------------

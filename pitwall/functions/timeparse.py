@@ -16,7 +16,7 @@ def text_to_seconds(col: Column | str) -> Column:
     """Parse a string column holding 'm:ss.xxx' or plain seconds."""
     c = F.trim(F.col(col) if isinstance(col, str) else col)
     parts = F.split(c, ":")
-    minutes = parts.getItem(0).try_cast("int")
+    minutes = parts.getItem(0).try_cast("bigint").cast("double")
     seconds = parts.getItem(1).try_cast("double")
     return (
         F.when(c == "", F.lit(None).cast("double"))
@@ -52,7 +52,7 @@ def seconds_sql(expr: str) -> str:
         f"(case when {t} = '' then null "
         f"when strpos({t}, ':') > 0 then "
         f"case when len(string_split({t}, ':')) = 2 then "
-        f"try_cast(split_part({t}, ':', 1) as integer) * 60 "
+        f"try_cast(split_part({t}, ':', 1) as bigint) * 60.0 "
         f"+ try_cast(split_part({t}, ':', 2) as double) end "
         f"else try_cast({t} as double) end)"
     )

@@ -21,7 +21,11 @@ from pitwall.operators.rank import prev_next
 
 LAP_PARTITION = ["year", "round", "session_type", "driver"]
 RACE_KEYS = ["year", "round", "driver"]
-MAX_COMPOUNDS = 64
+
+
+def named(column: str) -> Column:
+    """A column by its exact name: compound names may hold dots and spaces."""
+    return F.col("`" + column.replace("`", "``") + "`")
 
 
 def race_laps(laps: DataFrame) -> DataFrame:
@@ -30,22 +34,19 @@ def race_laps(laps: DataFrame) -> DataFrame:
     return r.withColumn("lap_time", normalise_nan(to_seconds(r, "lap_time")))
 
 
-def compound_values(race: DataFrame, max_values: int = MAX_COMPOUNDS) -> list[str]:
+def compound_values(race: DataFrame) -> list[str]:
     """Distinct lower-cased tyre compounds: the pivot's value list.
 
     Lower-casing happens before the pivot so two spellings of one compound
-    become one column. The distinct set is bounded (checked) so the pivot
-    cannot explode the schema.
+    become one column. Each value is an output column, so the list is as long
+    as the schema must be.
     """
     rows = (
         race.select(F.lower("compound").alias("c"))
         .where(F.col("c").isNotNull())
         .distinct()
-        .limit(max_values + 1)
         .collect()
     )
-    if len(rows) > max_values:
-        raise ValueError(f"more than {max_values} distinct compounds; pass them explicitly")
     return sorted(r.c for r in rows)
 
 
@@ -193,7 +194,7 @@ def race_driver_team(blocks: DataFrame, compounds: list[str]) -> DataFrame:
         F.min_by(F.col("_firstpos.v"), F.col("_firstpos.o")).alias("start_grid_race"),
         F.max("_lap1").alias("lap1_position"),
         F.sum("_comp_laps").alias("compound_laps"),
-        *[F.sum(f"_n_{c}").alias(f"n_{c}") for c in compounds],
+        *[F.sum(named(f"_n_{c}")).alias(f"n_{c}") for c in compounds],
     )
     driver = per_driver.join(stint_counts(blocks), LAP_PARTITION, "left")
     return per_team.join(driver, LAP_PARTITION, "left").select(
@@ -208,7 +209,7 @@ def race_driver_team(blocks: DataFrame, compounds: list[str]) -> DataFrame:
         "start_grid_race",
         "lap1_position",
         "compound_laps",
-        *[f"n_{c}" for c in compounds],
+        *[named(f"n_{c}") for c in compounds],
     )
 
 
@@ -241,7 +242,7 @@ def race_features(base: DataFrame, compounds: list[str], dist: DataFrame) -> Dat
         "start_grid_race",
         "lap1_position",
         *[
-            F.when(total > 0, F.col(f"n_{c}") / total).alias(f"pct_{c}")
+            F.when(total > 0, named(f"n_{c}") / total).alias(f"pct_{c}")
             for c in compounds
         ],
     )

@@ -18,7 +18,7 @@ from pitwall.operators.race import LAP_PARTITION
 SESSION_TYPES = ["R"]
 FIRST_ROUND, LAST_ROUND = 1, 23
 SESSION_KEYS = ["year", "round", "session_type"]
-WEATHER_BUCKET_SECONDS = 86400.0
+WEATHER_BUCKET_SECONDS = 600.0
 
 RECORD_COLUMNS = [
     "year", "round", "session_type", "event_name", "driver", "team", "lap_number",

@@ -54,30 +54,18 @@ def get_spark(
     return spark
 
 
-SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-
-
-def scale_conf(lap_log_bytes: int, total_cores: int) -> dict[str, str]:
-    """Sizing for a cluster run over ``lap_log_bytes`` of (compressed) laps.
-
-    The lap-grain shuffle moves roughly the scanned bytes once; start it with
-    enough partitions for ~256 MB each (at least 3 waves of the cores) and let
-    AQE coalesce from there. Scan splits of 256 MB keep map tasks in step.
-    """
-    parts = max(3 * total_cores, -(-lap_log_bytes // SHUFFLE_PARTITION_BYTES))
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(SHUFFLE_PARTITION_BYTES),
-    }
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder, setting one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder and is used as is. Local test sessions usually leave it unset; then
-    a fresh folder under the system temp dir is created for this session.
+    folder and is used as is; a cluster session without it is refused, as its
+    executors would not share a local one. Local test sessions usually leave it
+    unset; then a fresh folder under the system temp dir is created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -87,6 +75,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not is_local(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="pitwall-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -61,8 +61,13 @@ def start_collection(
     )
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        records = lap_records(batch, weather)
-        records.write.mode("append").partitionBy("year", "round").parquet(sink_dir)
+        # one folder per epoch, overwritten: a replayed batch leaves the same rows
+        batch.persist()
+        try:
+            records = lap_records(batch, weather)
+            records.write.mode("overwrite").partitionBy("year", "round").parquet(f"{sink_dir}/epoch={epoch_id}")
+        finally:
+            batch.unpersist()
 
     ckpt = os.path.join(checkpoint_dir(spark), "streams", query_name)
     writer = laps.writeStream.queryName(query_name).option("checkpointLocation", ckpt).foreachBatch(

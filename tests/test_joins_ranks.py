@@ -9,12 +9,11 @@ from pitwall.operators.joins import asof_nearest, join_small
 from pitwall.operators.rank import rank_final_position, rank_race_time
 
 
-def _asof(spark, left, right, width, max_rows=1_000_000):
+def _asof(spark, left, right, width):
     L = spark.createDataFrame(left, "k string, lid int, t double")
     R = spark.createDataFrame(right, "k string, rid int, rt double, v string")
     out = asof_nearest(
         L, R, by=["k"], left_time="t", right_time="rt", right_id="rid", bucket_width=width,
-        max_broadcast_rows=max_rows,
     )
     rows = out.collect()
     assert len(rows) == len(left)  # exactly one output row per left row
@@ -54,8 +53,21 @@ def test_asof_matches_brute_force(spark, width):
     exp = brute(left, right)
     got = _asof(spark, left, right, width)
     assert {k: v.rid for k, v in got.items()} == exp
-    shuffled = _asof(spark, left, right, width, max_rows=0)  # shuffle-join path
-    assert {k: v.rid for k, v in shuffled.items()} == exp
+
+
+def test_asof_far_samples_and_null_keys(spark):
+    left = [("a", 1, 3.0e9), ("a", 2, 1.0), (None, 3, 1.0)]
+    right = [("a", 11, 0.0, "v"), ("a", 12, 3.2e9, "v"), (None, 13, 1.0, "v")]
+    got = _asof(spark, left, right, 1.0)  # a century apart at a width of one second
+    assert (got[1].rid, got[2].rid, got[3].rid) == (12, 11, None)
+
+
+def test_asof_rows_in_the_plan_stay_linear(spark):
+    n = 20_000  # all rows of both sides under one key and bucket
+    L = spark.range(n).selectExpr("'a' as k", "cast(id as int) as lid", "id % 7200 + 0.5D as t")
+    R = spark.range(n).selectExpr("'a' as k", "cast(id as int) as rid", "cast(id % 7200 as double) as rt")
+    out = asof_nearest(L, R, ["k"], "t", "rt", "rid", bucket_width=86400.0)
+    assert out.where("asof_distance = 0.5").count() == n
 
 
 def test_asof_plan_has_no_pairs(spark):
@@ -66,15 +78,19 @@ def test_asof_plan_has_no_pairs(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_join_small_broadcasts_only_within_bound(spark):
+def test_join_small_follows_runtime_size(spark):
     big = spark.range(100).withColumn("k", F.col("id") % 5)
     small = big.groupBy("k").count()
-    plan_b = join_small(big, small, ["k"], max_rows=10)._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan_b
+
+    def plan():
+        df = join_small(big, small, ["k"])
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan_s = join_small(big, small, ["k"], max_rows=2)._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plan_s
+        assert "BroadcastHashJoin" not in plan()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
