@@ -2,10 +2,11 @@
 
 Landed lap files (one or more whole sessions per file) are picked up as they
 arrive; each micro-batch runs the same collection plan as the batch job
-(accurate laps, nearest weather sample, classified position) and appends the
-records to a Parquet table partitioned by year and round. Progress and the
-exactly-once file log live in the stream checkpoint under the shared
-checkpoint folder, so a restarted query continues where it stopped.
+(accurate laps, nearest weather sample, classified position) and writes the
+records to a Parquet table partitioned by epoch, year and round. An epoch's
+folder is overwritten, so a batch replayed after a lost commit leaves the same
+rows. Progress lives in the stream checkpoint under the shared checkpoint
+folder, so a restarted query continues where it stopped.
 """
 
 from __future__ import annotations
