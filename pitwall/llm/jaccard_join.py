@@ -20,7 +20,10 @@ against one pivot (``STARS`` rounds with different pivots, first the document
 whose prefix has the longest posting lists, as an original has among its
 edited copies), components are formed, and then all candidate pairs whose documents still are in different
 components are verified. So every link between different components is tested
-and the components are exact.
+and the components are exact. Before those pairs are made, a bitmap filter
+drops the ones that cannot link: each set has ``64 * WORDS`` parity bits (a
+shingle flips one), and two bitmaps never differ in more bits than the sets
+differ in shingles. Documents that only share a passage end there.
 
 Defined results: null and empty texts have no shingles and stay alone; texts
 of fewer than ``k`` words have one shingle; repeated rows are one class. An
@@ -47,6 +50,9 @@ STARS = 3
 RUN_CHARS = 1_500_000
 #: Shingles counted together, and the count from which a split reports one.
 COUNTED, REPORTED = 4_000_000, 2
+#: Long integers of a set's parity bitmap.
+WORDS = 8
+PARITY = [f"p{i}" for i in range(WORDS)]
 #: Cost of verifying a candidate against that of reading a posting.
 VERIFY = 20
 
@@ -98,6 +104,15 @@ def shingle_sets(run: list[str], hasher: Hasher, k: int = K) -> list[np.ndarray]
     return out
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """One row per set: its parity bitmap as ``WORDS`` long integers."""
+    bits = 64 * WORDS
+    place = np.concatenate([s >> np.uint64(32) for s in sets]) % np.uint64(bits)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    odd = np.bincount(row * bits + place.astype(np.int64), minlength=len(sets) * bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(sets), WORDS)
+
+
 def _rows(batches):
     """(row ids, ids, texts) of runs of Arrow batches of (id, text)."""
     from pyspark import TaskContext
@@ -109,22 +124,22 @@ def _rows(batches):
 
 
 def _profile(k: int):
-    """mapInArrow body: per document its size and a 128-bit digest of its set,
-    and (with a null _rid) shingles that the split finds often."""
+    """mapInArrow body: per document its size, a 128-bit digest of its set and its
+    parity bitmap, and (with a null _rid) shingles that the split finds often."""
 
     def run(batches):
         import hashlib
 
         import pyarrow as pa
 
-        names = ["_rid", "doc_id", "n", "digest", "shingle", "df"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+        names = ["_rid", "doc_id", "n", "digest", *PARITY, "shingle", "df"]
+        kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * (WORDS + 2)
 
         def often(held):
             values, counts = np.unique(np.concatenate(held), return_counts=True)
             v, c = values[counts >= REPORTED].view(np.int64), counts[counts >= REPORTED]
             return pa.RecordBatch.from_arrays(
-                [*[pa.nulls(len(v), t) for t in kinds[:4]], pa.array(v), pa.array(c.astype(np.int64))], names=names
+                [*[pa.nulls(len(v), t) for t in kinds[:-2]], pa.array(v), pa.array(c.astype(np.int64))], names=names
             )
 
         hasher, held, size, seen = Hasher(), [], 0, set()
@@ -134,7 +149,8 @@ def _profile(k: int):
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rids, kinds[0]), pa.array(ids, kinds[1]), pa.array([len(s) for s in sets], kinds[2]),
-                     pa.array(digests, kinds[3]), *[pa.nulls(len(sets), t) for t in kinds[4:]]],
+                     pa.array(digests, kinds[3]), *[pa.array(w) for w in parities(sets).T],
+                     *[pa.nulls(len(sets), t) for t in kinds[-2:]]],
                     names=names,
                 )
                 for s, d in zip(sets, digests):
@@ -244,16 +260,19 @@ def links(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFram
     (u, root) of class representatives that are not the least of their
     component (the representative of a class is its least _rid)."""
     spark, source = docs.sparkSession, docs.select("doc_id", "text")
-    schema = "_rid bigint, doc_id bigint, n bigint, digest binary, shingle bigint, df bigint"
+    words = "".join(f"{p} bigint, " for p in PARITY)
+    schema = f"_rid bigint, doc_id bigint, n bigint, digest binary, {words}shingle bigint, df bigint"
     seen = save(source.mapInArrow(_profile(k), schema), "profile")
-    profile = seen.where("_rid is not null").select("_rid", "doc_id", "n", "digest")
+    profile = seen.where("_rid is not null").drop("shingle", "df")
     rows = profile.count()
     often = seen.where("_rid is null").groupBy("shingle").agg(F.sum("df").alias("df"))
     often = often.where(F.col("df") >= max(8, rows // FREQUENT)).toPandas()
     shingles = often["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(shingles)
     body = _prefixes(k, percent, shingles[order], often["df"].to_numpy(np.int64)[order])
-    classes = save(profile.where("n > 0").groupBy("digest").agg(F.min("_rid").alias("_rid")).select("_rid"), "classes")
+    parity = [F.first(p).alias(p) for p in PARITY]  # equal sets have equal ones
+    classes = save(profile.where("n > 0").groupBy("digest").agg(F.min("_rid").alias("_rid"), *parity).drop("digest"), "classes")
+    profile = profile.drop(*PARITY)
     # shingles of one document only are dropped before anything else is joined; a
     # frequent one is known to be shared and is spread over many tasks
     tokens = source.mapInArrow(body, "token bigint, _rid bigint, n int, place int, hot boolean")
@@ -261,7 +280,7 @@ def links(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFram
     together = Window.partitionBy("token", "_salt")
     shared = tokens.withColumn("_salt", salt).withColumn("_c", F.count(F.lit(1)).over(together))
     shared = shared.where("hot or _c > 1").drop("_c", "_salt", "hot")
-    shared = save(shared, "tokens").join(classes, "_rid", "left_semi")
+    shared = save(shared, "tokens").join(classes.select("_rid"), "_rid", "left_semi")
     postings = save(_adaptive(save(shared, "tokens"), percent), "prefixes")
     near = f"100 * least(n, pn) >= {percent} * greatest(n, pn)"
     texts_of = source.mapInArrow(_with_rid, "_rid bigint, text string")
@@ -291,10 +310,13 @@ def links(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFram
     # every candidate pair that is still apart
     rooted = save(_rooted(postings, roots), "rooted")
     split = rooted.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi")
-    left = save(rooted.join(split.select("token"), "token", "left_semi"), "apart")
-    a = left.select("token", F.col("_rid").alias("u"), "n", "l", F.col("root").alias("ru"))
-    b = left.select("token", F.col("_rid").alias("v"), F.col("n").alias("pn"), F.col("l").alias("pl"), F.col("root").alias("rv"))
-    pairs = a.join(b, "token").where(f"u < v and ru <> rv and {near}")
+    left = save(rooted.join(split.select("token"), "token", "left_semi").join(classes, "_rid"), "apart")
+    a = left.select("token", F.col("_rid").alias("u"), "n", "l", F.col("root").alias("ru"), *PARITY)
+    other = [F.col(p).alias(f"q{p}") for p in PARITY]
+    b = left.select("token", F.col("_rid").alias("v"), F.col("n").alias("pn"), F.col("l").alias("pl"), F.col("root").alias("rv"), *other)
+    differ = " + ".join(f"bit_count({p} ^ q{p})" for p in PARITY)
+    alike = f"({differ}) * {100 + percent} <= (n + pn) * {100 - percent}"
+    pairs = a.join(b, "token").where(f"u < v and ru <> rv and {near} and {alike}")
     pairs = pairs.groupBy("u", "v", F.least("l", "pl").alias("m")).count().where("count >= m")
     edges = save(verified(pairs).unionAll(edges), "links")
     return profile, components(edges)

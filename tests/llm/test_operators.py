@@ -108,6 +108,19 @@ def test_interval_tree_reports_all_occurrences():
     assert list(suffix_dedup.intervals([2, 5, 5, 2])) == [(5, 1, 3), (2, 0, 4)]
 
 
+def test_parity_bitmaps_never_differ_in_more_bits_than_the_sets():
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool, n)) for n in (0, 1, 5, 300, 300, 2500, 2900)]
+    rows = jaccard_join.parities(sets)
+    assert rows.shape == (len(sets), jaccard_join.WORDS)
+    for a, x in zip(sets, rows):
+        for b, y in zip(sets, rows):
+            differ = sum(int(w).bit_count() for w in (x ^ y).view(np.uint64))
+            assert differ <= len(np.setxor1d(a, b))
+    assert (rows[0] == 0).all() and rows[1].any()
+
+
 def test_jaccard_join(docs, rows, none):
     got = {r.doc_id: r for r in jaccard_join.near_duplicates(docs).collect()}
     sets = {}
