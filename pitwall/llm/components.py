@@ -1,8 +1,9 @@
 """Connected components of a stored edge list, without driver-side state.
 
 Alternating large-star and small-star steps (minimum aggregates joined back to
-the edges, so a hub's edges never meet in one task) until the edges no longer
-change: then every node hangs on the smallest node of its component.
+the edges, so a hub's edges never meet in one task) until the edges are stars:
+every node but the centres hangs on one node, and that is a centre. As edges
+point to the lesser node, the centre is the least node of its component.
 """
 
 from __future__ import annotations
@@ -30,9 +31,14 @@ def components(edges: DataFrame) -> DataFrame:
     """(u, root) for every node of ``edges`` (u, v: long) that is not itself the
     smallest of its component. Self edges and repeated edges do not matter."""
     now = save(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
-    mark = None
-    while True:
+    while not _stars(now):
         now = save(_star(_star(now, True), False), "edges")
-        was, mark = mark, now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20)"))).first()
-        if mark == was or not mark[0]:
-            return now.select("u", F.col("v").alias("root"))
+    return now.select("u", F.col("v").alias("root"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether no node hangs on two nodes, or hangs on one and carries another."""
+    ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionAll(edges.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    node = ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return node.where("up > 1 or (up = 1 and down = 1)").isEmpty()
