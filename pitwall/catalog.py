@@ -818,6 +818,7 @@ def _training_set(spark, sf_dir, target=C.LAP_TIME_TARGET) -> "TR.TrainingSet":
 
 def _search_rows(spark, ts, cv) -> DataFrame:
     cvm = cv.fit(ts.frame.filter(~F.col("is_test")))
+    ts.release()
     return spark.createDataFrame(TR.cv_results(cvm), "params string, cv_mae double")
 
 
