@@ -112,17 +112,22 @@ def _anchor_rows(hot: np.ndarray):
 
         import pyarrow as pa
 
-        hasher, seen = Hasher(), set()
+        # the first copy (by doc_id, _rid) need not be the first read: of a text the
+        # least one so far goes on, so the first copy always does
+        hasher, seen = Hasher(), {}
         with np.errstate(over="ignore"):
-            for rids, _, run in _rows(batches):
+            for rids, ids, run in _rows(batches):
                 cols = [[np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
-                for rid, t in zip(rids, run):
+                for rid, doc, t in zip(rids, ids, run):
                     b = t.encode()
+                    if len(b) < SPAN:
+                        continue
                     d = hashlib.blake2b(b, digest_size=16).digest()
-                    if len(b) < SPAN or d in seen:
+                    order = (doc is not None, doc, rid)
+                    if d in seen and seen[d] < order:
                         continue
-                    seen = set() if len(seen) > 100_000 else seen
-                    seen.add(d)
+                    seen = {} if len(seen) > 100_000 else seen
+                    seen[d] = order
                     h, at = anchors(b, hasher)
                     for c, v in zip(cols, (h, np.full(len(h), rid), at)):
                         c.append(v)

@@ -334,3 +334,35 @@ def test_numbers_over_partitions(spark):
     order = sorted(range(500), key=lambda i: (7 if i % 3 == 0 else i % 50, i))
     before = np.cumsum([0, *[i % 5 for i in order]])
     assert got == {i: int(before[p]) for p, i in enumerate(order)}
+
+
+def prose(rnd, n):
+    return " ".join(f"{rnd.choice(WORDS)}{rnd.randint(0, 999)}" for _ in range(n))
+
+
+def suffix_dedup_by_brute_force(rows):
+    """{doc_id: (bytes, removed bytes, digest of the rest)} of (doc_id, text)."""
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        b = t.encode()
+        gone = bytearray(len(b))
+        for p in range(len(b) - 99):
+            if b[p : p + 100] in seen:
+                gone[p : p + 100] = b"\1" * 100
+            seen.add(b[p : p + 100])
+        out[i] = len(b), sum(gone), hashlib.sha256(bytes(c for c, g in zip(b, gone) if not g)).hexdigest()
+    return out
+
+
+def test_suffix_dedup_of_rows_stored_against_the_order_of_doc_ids(spark):
+    rnd = random.Random(11)
+    passage = prose(rnd, 40)
+    copied = prose(rnd, 10) + " " + passage + " " + prose(rnd, 10)
+    # read first: the last copy; the passage's first place is in the first copy
+    rows = [(9, prose(rnd, 9) + " " + passage), (8, copied), (7, copied), (6, prose(rnd, 50)), (5, copied), (4, prose(rnd, 30))]
+    path = scratch(spark, "test-descending")
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(path)
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(spark.read.parquet(path)).collect()}
+    for i, want in suffix_dedup_by_brute_force(rows).items():
+        assert (got[i].n_bytes, got[i].n_removed, got[i].kept_sha256) == want, i
+    assert got[9].n_removed >= len(passage.encode())
