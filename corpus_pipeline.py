@@ -8,30 +8,41 @@ columns are carried along whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import save, table, without
-from pitwall.llm.exact_dedup import exact_dedup
-from pitwall.llm.jaccard_join import near_duplicates
+from pitwall.llm.common import save, stored_rows, table
+from pitwall.llm.exact_dedup import exact_rows
+from pitwall.llm.jaccard_join import near_rows
 from pitwall.llm.packing import pack
-from pitwall.llm.quality import quality
+from pitwall.llm.quality import quality_rows
 from pitwall.llm.secret_scan import secret_spans
 
 
+def _kept(docs: DataFrame, judge: Callable[[DataFrame], DataFrame], *columns: str) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps. It gets _rid and ``columns`` of the
+    rows that are stored here, and the rows it drops are taken from the same table."""
+    rows = stored_rows(docs, F.struct("*").alias("_row"))
+    judged = judge(rows.select("_rid", *[F.col("_row").getField(c).alias(c) for c in columns]))
+    gone = judged.where("not kept").select(F.col("_rid").alias("_gone"))
+    return rows.join(gone, F.col("_rid") == F.col("_gone"), "left_anti").select("_row.*")
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the robust distance reject go."""
-    return without(docs, quality(docs).where("not kept"))
+    return _kept(docs, quality_rows, "doc_id", "text", "lang", "source")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal documents the one with the largest doc_id stays."""
-    return without(docs, exact_dedup(docs).where("not kept"))
+    return _kept(docs, exact_rows, "doc_id", "text")
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the one with the least doc_id stays."""
-    return without(docs, near_duplicates(docs).where("not kept"))
+    return _kept(docs, near_rows, "doc_id", "text")
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,18 +65,30 @@ def texts(batches: Iterator, run_chars: int = 4_000_000) -> Iterator[tuple[list,
             yield out, run
 
 
+def rows_of(batches: Iterator, run_chars: int = 4_000_000) -> Iterator[tuple[list, list, list]]:
+    """(row ids, ids, texts) of runs of Arrow batches of (_rid, id, text)."""
+    import pyarrow as pa
+
+    def paired():
+        for rb in batches:
+            both = pa.StructArray.from_arrays([rb.column(0), rb.column(1)], names=["_rid", "id"])
+            yield pa.RecordBatch.from_arrays([both, rb.column(2)], names=["both", "text"])
+
+    for both, run in texts(paired(), run_chars):
+        yield [b["_rid"] for b in both], [b["id"] for b in both], run
+
+
 def row_id(name: str = "_rid"):
-    """The place of a row in its input split, as the operators' Arrow passes
-    count it. The same for every read of a stored table."""
+    """The place of a row in its input split. Another scan of the same table may
+    be split otherwise, so it holds within one scan: see ``stored_rows``."""
     place = F.monotonically_increasing_id()
     return (F.shiftleft(F.shiftright(place, 33), 40) + place.bitwiseAND((1 << 33) - 1)).alias(name)
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of the stored table ``docs`` whose place is not in ``dropped``."""
-    rows = docs.select(F.struct("*").alias("_row"), row_id("_place"))
-    gone = dropped.select(F.col("_rid").alias("_gone"))
-    return rows.join(gone, F.col("_place") == F.col("_gone"), "left_anti").select("_row.*")
+def stored_rows(docs: DataFrame, *columns) -> DataFrame:
+    """``_rid`` and ``columns`` of ``docs``, numbered by one scan and saved: all
+    later passes read the stored numbers."""
+    return save(docs.select(row_id(), *columns), "rows")
 
 
 def _numberer(n_keys: int, weight: bool):

@@ -11,9 +11,8 @@ pair of names, so no digest can collide. 0 stands for "no right neighbour"
 One shuffle moves the text itself (the sort of the blocks); later rounds move
 names, halving each time: log2 of the longest document rounds. The sort is a
 range partition on (block, row), so a block that a third of all rows share
-covers many partitions. ``_rid`` is the place of a row in its input split and
-the input must be a stored table (it is read the same way again when a task
-is retried).
+covers many partitions. ``_rid`` is the place of a row in its input split,
+stored once for all passes.
 
 Defined results: null counts as empty, and empty texts are equal. Of rows that
 also share the largest doc_id exactly one stays (the last read). A null doc_id
@@ -26,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import LOWER, numbered, save, texts
+from pitwall.llm.common import LOWER, numbered, row_id, rows_of, save
 
 BLOCK_BYTES = 1024
 
@@ -38,34 +37,31 @@ def _blocker(block_bytes: int):
         import hashlib
 
         import pyarrow as pa
-        from pyspark import TaskContext
 
-        rid = TaskContext.get().partitionId() << 40
         types = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.binary()]
         names = ["_rid", "doc_id", "text_sha256", "_pos", "_left", "_block"]
 
         def made(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-        for docs, run in texts(batches):
+        for rids, docs, run in rows_of(batches):
             rows = []
-            for doc, text in zip(docs, run):
+            for rid, doc, text in zip(rids, docs, run):
                 b = text.encode().translate(LOWER)
                 sha = hashlib.sha256(b).hexdigest()
                 n = max(1, -(-len(b) // block_bytes))
                 for k in range(n):
                     block = b[k * block_bytes : (k + 1) * block_bytes]
                     rows.append((rid, doc, sha if k == 0 else None, k, n, block))
-                rid += 1
             yield made(rows)
 
     return run
 
 
-def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per row of ``docs``: _rid, doc_id, text_sha256 and the identity
+def identities(rows: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One row per row of ``rows`` (_rid, doc_id, text): _rid, doc_id, text_sha256 and the identity
     (_round, _name)."""
-    blocks = docs.select("doc_id", "text").mapInArrow(_blocker(block_bytes), _BLOCKS)
+    blocks = rows.select("_rid", "doc_id", "text").mapInArrow(_blocker(block_bytes), _BLOCKS)
     carry = ["_rid", "doc_id", "text_sha256", "_pos", "_left"]
     names = numbered(blocks, ["_block"], ["_rid", "_pos"], carry, "_name").withColumn("_name", F.col("_name") + 1)
     done, level = [], 0
@@ -99,7 +95,13 @@ def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept,
     text_sha256, and _rid (the row's place)."""
-    ids = save(identities(docs, block_bytes), "identities")
+    # the blocks are saved by one pass, so the numbers need no table of their own
+    return exact_rows(docs.select(row_id(), "doc_id", "text"), block_bytes)
+
+
+def exact_rows(rows: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The same for rows (_rid, doc_id, text)."""
+    ids = save(identities(rows, block_bytes), "identities")
     best = F.max(F.struct("doc_id", "_rid")).alias("_keep")
     groups = ids.groupBy("_round", "_name").agg(best, F.count(F.lit(1)).alias("group_size"))
     return ids.join(groups, ["_round", "_name"]).select(

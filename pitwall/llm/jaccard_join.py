@@ -28,8 +28,8 @@ differ in shingles. Documents that only share a passage end there.
 Defined results: null and empty texts have no shingles and stay alone; texts
 of fewer than ``k`` words have one shingle; repeated rows are one class. An
 empty table gives no rows. Only doc_id and text are read. Shingles are compared
-as 64-bit hashes. ``_rid`` is the place of a row in its input split, so the
-input must be a stored table.
+as 64-bit hashes. ``_rid`` is the place of a row in its input split, stored
+once for all passes.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.llm.bpe import Hasher
-from pitwall.llm.common import LOWER, save, texts
+from pitwall.llm.common import LOWER, rows_of, save, stored_rows
 from pitwall.llm.components import components
 
 K = 5
@@ -114,13 +114,8 @@ def parities(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _rows(batches):
-    """(row ids, ids, texts) of runs of Arrow batches of (id, text)."""
-    from pyspark import TaskContext
-
-    rid = TaskContext.get().partitionId() << 40
-    for ids, run in texts(batches, RUN_CHARS):
-        yield range(rid, rid + len(ids)), ids, run
-        rid += len(ids)
+    """(row ids, ids, texts) of runs of Arrow batches of (_rid, id, text)."""
+    return rows_of(batches, RUN_CHARS)
 
 
 def _profile(k: int):
@@ -168,22 +163,22 @@ def _profile(k: int):
 
 
 def _prefixes(k: int, percent: int, shingles: np.ndarray, dfs: np.ndarray):
-    """mapInArrow body: the longest prefix of each set (each set once a run of
-    a split), with the place of each shingle in it."""
+    """mapInArrow body: the longest prefix of each set (of equal sets, those whose
+    _rid is the least read so far), with the place of each shingle in it."""
 
     def run(batches):
         import pyarrow as pa
 
-        hasher, seen, held = Hasher(), set(), 0
+        hasher, seen, held = Hasher(), {}, 0
         with np.errstate(over="ignore"):
             for rids, _, group in _rows(batches):
                 cols = [[], [], [], [], []]
                 for rid, s in zip(rids, shingle_sets(group, hasher, k)):
                     n = len(s)
                     key = s.tobytes() if n < 8 else (n, int(s[0]), int(s[-1]), int(s.sum()))
-                    if not n or key in seen:
+                    if not n or seen.get(key, rid) < rid:
                         continue
-                    seen.add(key)
+                    seen[key] = rid
                     m = min(n, n - needed(n, percent) + MOST)
                     at = np.minimum(np.searchsorted(shingles, s), max(0, len(shingles) - 1))
                     df = np.where(shingles[at] == s, dfs[at], 0) if len(shingles) else np.zeros(n, np.int64)
@@ -194,7 +189,7 @@ def _prefixes(k: int, percent: int, shingles: np.ndarray, dfs: np.ndarray):
                         c.append(v)
                     held += 1
                 if held > 100_000:
-                    seen, held = set(), 0
+                    seen, held = {}, 0
                 if cols[0]:
                     token, rid, n, place, hot = (np.concatenate(c) for c in cols)
                     yield pa.RecordBatch.from_arrays(
@@ -206,13 +201,6 @@ def _prefixes(k: int, percent: int, shingles: np.ndarray, dfs: np.ndarray):
     return run
 
 
-def _with_rid(batches):
-    import pyarrow as pa
-
-    for rids, _, group in _rows(batches):
-        yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(group)], names=["_rid", "text"])
-
-
 def _verifier(k: int, percent: int):
     """mapInArrow body over (u, v, text_u, text_v): the pairs that link."""
 
@@ -255,11 +243,10 @@ def _adaptive(tokens: DataFrame, percent: int) -> DataFrame:
     return kept.select("token", "_rid", "n", "l", "score")
 
 
-def links(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(profile, roots). profile: _rid, doc_id, n, digest of each row; roots:
+def links(source: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(profile, roots) of stored rows (_rid, doc_id, text). profile: _rid, doc_id, n, digest of each row; roots:
     (u, root) of class representatives that are not the least of their
     component (the representative of a class is its least _rid)."""
-    spark, source = docs.sparkSession, docs.select("doc_id", "text")
     words = "".join(f"{p} bigint, " for p in PARITY)
     schema = f"_rid bigint, doc_id bigint, n bigint, digest binary, {words}shingle bigint, df bigint"
     seen = save(source.mapInArrow(_profile(k), schema), "profile")
@@ -283,7 +270,7 @@ def links(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFram
     shared = save(shared, "tokens").join(classes.select("_rid"), "_rid", "left_semi")
     postings = save(_adaptive(save(shared, "tokens"), percent), "prefixes")
     near = f"100 * least(n, pn) >= {percent} * greatest(n, pn)"
-    texts_of = source.mapInArrow(_with_rid, "_rid bigint, text string")
+    texts_of = source.select("_rid", F.coalesce("text", F.lit("")).alias("text"))
     needed_rows = save(texts_of.join(postings.select("_rid").distinct(), "_rid", "left_semi"), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -330,7 +317,12 @@ def _rooted(postings: DataFrame, roots: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the least
     doc_id reachable by links), kept (one row of each component) and _rid."""
-    profile, roots = links(docs, k, percent)
+    return near_rows(stored_rows(docs, "doc_id", "text"), k, percent)
+
+
+def near_rows(rows: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
+    """The same for stored rows (_rid, doc_id, text)."""
+    profile, roots = links(rows, k, percent)
     classes = profile.where("n > 0").groupBy("digest").agg(F.min("_rid").alias("u"))
     classes = classes.join(roots, "u", "left").select("digest", F.coalesce("root", "u").alias("root"))
     rows = profile.join(classes, "digest", "left").withColumn("root", F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("_rid")))

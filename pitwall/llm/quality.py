@@ -194,7 +194,11 @@ def quality(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """One row per row of ``docs`` (id, text, lang, source): the id, the base
     counts, base_failed, distance (null where no fit is large enough), kept,
     and _rid (the row's place)."""
-    rows = docs.select(row_id(), id_col, "text", "lang", "source")
+    return quality_rows(docs.select(row_id(), id_col, "text", "lang", "source"), id_col)
+
+
+def quality_rows(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The same for rows (_rid, id, text, lang, source)."""
     # stored first: a filter pushed below the statistics would repeat their expressions
     stats = save(with_stats(rows, ["_rid", id_col]), "quality-stats")
     return scored(stats, fit_mcd(stats.where("not base_failed"))).select(

@@ -21,7 +21,7 @@ gives the same spans. Frequent anchors (reported split by split, at most
 
 Defined results: null counts as empty; texts under SPAN bytes lose nothing;
 order is by doc_id, repeated doc_ids by ``_rid`` (the row's place in its input
-split; the input must be a stored table). An empty table gives no rows. Only
+split, stored once for all passes). An empty table gives no rows. Only
 doc_id and text are read. Anchors and contexts are compared as 64-bit hashes.
 """
 
@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.llm.bpe import Hasher
-from pitwall.llm.common import save, shuffle_partitions
-from pitwall.llm.jaccard_join import _mix, _rows, _with_rid
+from pitwall.llm.common import save, shuffle_partitions, stored_rows
+from pitwall.llm.jaccard_join import _mix, _rows
 
 SPAN = 100
 SEED = 24
@@ -314,7 +314,7 @@ def _cut(batches):
 def remove_repeats(docs: DataFrame, large: int = LARGE) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans,
     kept_sha256."""
-    spark, source = docs.sparkSession, docs.select("doc_id", "text")
+    spark, source = docs.sparkSession, stored_rows(docs, "doc_id", "text")
     seen = save(source.mapInArrow(_profile, "_rid bigint, doc_id bigint, n bigint, sha string, h bigint, df bigint"), "texts")
     profile = seen.where("_rid is not null").drop("h", "df")
     often = seen.where("_rid is null").groupBy("h").agg(F.sum("df").alias("df"))
@@ -330,7 +330,7 @@ def remove_repeats(docs: DataFrame, large: int = LARGE) -> DataFrame:
     rows = save(rows, "anchors")
     # texts with repeated anchors, stored by row so that they move once
     n, name = shuffle_partitions(spark), f"repeat_texts_{uuid.uuid4().hex}"
-    texts_of = source.mapInArrow(_with_rid, "_rid bigint, text string")
+    texts_of = source.select("_rid", F.coalesce("text", F.lit("")).alias("text"))
     some = texts_of.join(rows.select("_rid").distinct(), "_rid", "left_semi").repartition(n, "_rid")
     some.write.bucketBy(n, "_rid").option("compression", "zstd").saveAsTable(name)
     stored = spark.table(name)

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitwall.llm import exact_dedup, jaccard_join, license_scan, packing, quality, secret_scan, suffix_dedup, url_filter, warc
-from pitwall.llm import bpe
+from pitwall.llm import bpe, common
 from pitwall.llm.common import numbered, scratch
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -366,3 +366,70 @@ def test_suffix_dedup_of_rows_stored_against_the_order_of_doc_ids(spark):
     for i, want in suffix_dedup_by_brute_force(rows).items():
         assert (got[i].n_bytes, got[i].n_removed, got[i].kept_sha256) == want, i
     assert got[9].n_removed >= len(passage.encode())
+
+
+@pytest.fixture
+def split_anew(spark, monkeypatch):
+    """After each saved table the next scans split their files otherwise, as on a
+    cluster whose executors come and go. Gives a table of several files."""
+    settings = {"spark.sql.files.minPartitionNum": ("1", "64"), "spark.sql.files.openCostInBytes": ("4m", "1")}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    turn = [0]
+
+    def other():
+        turn[0] += 1
+        for k, v in settings.items():
+            spark.conf.set(k, v[turn[0] % 2])
+
+    def saved(df, name, save=common.save):
+        out = save(df, name)
+        other()
+        return out
+
+    for module in (common, exact_dedup, jaccard_join, quality, suffix_dedup):
+        monkeypatch.setattr(module, "save", saved)
+
+    def stored(rows):
+        path = scratch(spark, "test-split")
+        for part in range(5):
+            spark.createDataFrame(rows[part::5], "doc_id bigint, text string, lang string, source string").coalesce(1).write.mode("append").parquet(path)
+        other()
+        return spark.read.parquet(path)
+
+    stored.other = other
+    yield stored
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def copies_corpus():
+    rnd = random.Random(13)
+    texts = [prose(rnd, 60) for _ in range(20)]
+    edited = [" ".join([*t.split()[:-1], "edit"]) for t in texts[:8]]
+    return [(i, t, "en", "s") for i, t in enumerate([*texts, *edited, *texts[:5], "few words"])]
+
+
+def test_rows_keep_their_numbers_when_scans_are_split_anew(spark, split_anew):
+    rows = copies_corpus()
+    docs = split_anew(rows)
+    near = {r.doc_id: r for r in jaccard_join.near_duplicates(docs).collect()}
+    for i, t, *_ in rows:
+        first = min(k for k, u, *_ in rows if u.split()[:-1] == t.split()[:-1])
+        assert (near[i].component_id, near[i].kept) == (first, i == first), i
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(docs).collect()}
+    for i, want in suffix_dedup_by_brute_force([r[:2] for r in rows]).items():
+        assert (got[i].n_bytes, got[i].n_removed, got[i].kept_sha256) == want, i
+
+
+def test_stages_drop_their_own_rows_when_scans_are_split_anew(spark, split_anew):
+    import corpus_pipeline
+
+    rows = copies_corpus()
+    last = {t: i for i, t, *_ in rows}
+    near = {i for i, t, *_ in rows if i == min(k for k, u, *_ in rows if u.split()[:-1] == t.split()[:-1])}
+    wanted = {"quality_rules": {i for i, t, *_ in rows if len(t.split()) >= 20}, "exact_dedup": set(last.values()), "jaccard_join": near}
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        out = stage(spark, split_anew(rows), "")
+        for _ in range(2):
+            split_anew.other()
+            assert {r.doc_id for r in out.select("doc_id").collect()} == wanted[name], name
