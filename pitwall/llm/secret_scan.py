@@ -50,7 +50,7 @@ class Alphabet:
     bits: float
 
 
-#: Tried in this order; a stretch that one class reports is not tried again.
+#: All are tried on every stretch; spans that overlap are merged.
 ALPHABETS = (
     Alphabet(r"[0-9a-fA-F]+", 24, 3.0),
     Alphabet(r"[A-Za-z0-9]+", 20, 3.7),
@@ -100,19 +100,26 @@ def window_spans(s: str, window: int, bits: float) -> list[tuple[int, int]]:
 
 
 def entropy_spans(s: str, alphabets=ALPHABETS, allowed=ALLOWED) -> list[tuple[int, int]]:
-    """Spans of a candidate string that look random in some character class."""
+    """Spans of a candidate string that look random in some character class;
+    those that overlap are one."""
     allow = [re.compile(p) for p in allowed]
     if any(p.search(s) for p in allow):
         return []
     found: list[tuple[int, int]] = []
     for a in alphabets:
         for m in re.finditer(a.pattern, s):
-            if m.end() - m.start() < a.window or any(m.start() < e and b < m.end() for b, e in found):
+            if m.end() - m.start() < a.window:
                 continue
             for b, e in window_spans(m.group(), a.window, a.bits):
                 if not any(p.search(m.group()[b:e]) for p in allow):
                     found.append((m.start() + b, m.start() + e))
-    return sorted(found)
+    out: list[tuple[int, int]] = []
+    for b, e in sorted(found):
+        if out and b < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((b, e))
+    return out
 
 
 def scan_text(text: str, alphabets=ALPHABETS, allowed=ALLOWED) -> list[tuple[int, int, int]]:
@@ -128,9 +135,14 @@ def scan_text(text: str, alphabets=ALPHABETS, allowed=ALLOWED) -> list[tuple[int
             out += [(at + m.start(), 1, at + m.end()) for m in ACCESS.finditer(run) if m.end() - m.start() >= MIN_ACCESS]
         if len(run) >= MIN_HEX:
             out += [(at + m.start(), 2, at + m.end()) for m in HEX.finditer(run) if m.end() - m.start() >= MIN_HEX]
-        base = list(out)
+        base = sorted(out)
         for b, e in entropy_spans(run, alphabets, allowed):
-            if not any(s < at + e and at + b < t for s, _, t in base):
+            # dropped only if base spans hold all of it
+            covered = at + b
+            for s, _, t in base:
+                if s <= covered < t:
+                    covered = t
+            if covered < at + e:
                 out.append((at + b, 3, at + e))
     return sorted(out)
 
