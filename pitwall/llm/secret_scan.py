@@ -58,7 +58,11 @@ ALPHABETS = (
     Alphabet(r"[A-Za-z0-9_-]+", 24, 4.0),
 )
 
-#: A candidate or span that one of these matches is not reported.
+#: Longer spans are reported whatever words they happen to contain.
+PLACEHOLDER = 128
+
+#: A span that one of these matches is not reported; an anchored one (from ``^``)
+#: speaks for whole candidates too, the others for spans of a key's length only.
 ALLOWED = (
     r"^[a-z]+$|^[A-Z]?[a-z]+$|^[A-Z]+$",  # one word
     r"^[0-9.,+/=_-]+$",  # numbers, phone numbers, dates, rulers
@@ -103,7 +107,8 @@ def entropy_spans(s: str, alphabets=ALPHABETS, allowed=ALLOWED) -> list[tuple[in
     """Spans of a candidate string that look random in some character class;
     those that overlap are one."""
     allow = [re.compile(p) for p in allowed]
-    if any(p.search(s) for p in allow):
+    whole = [p for p in allow if p.pattern.startswith("^")]
+    if any(p.search(s) for p in whole):
         return []
     found: list[tuple[int, int]] = []
     for a in alphabets:
@@ -111,7 +116,7 @@ def entropy_spans(s: str, alphabets=ALPHABETS, allowed=ALLOWED) -> list[tuple[in
             if m.end() - m.start() < a.window:
                 continue
             for b, e in window_spans(m.group(), a.window, a.bits):
-                if not any(p.search(m.group()[b:e]) for p in allow):
+                if not any(p.search(m.group()[b:e]) for p in (allow if e - b <= PLACEHOLDER else whole)):
                     found.append((m.start() + b, m.start() + e))
     out: list[tuple[int, int]] = []
     for b, e in sorted(found):

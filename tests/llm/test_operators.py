@@ -269,6 +269,20 @@ def test_secrets_of_several_alphabets_in_one_run():
         assert secret_scan.redact(text, secret_scan.scan_text(text)) == "[SECRET]", text
 
 
+def test_allowed_words_outside_a_secret_do_not_hide_it():
+    key = "Zk3vQ9xT1mLr8YpW2nBs5HdK7uEcRf4Gj0oXaViq"
+    for text in (f"cdn.example.org/keys/{key}", f"xxxx.{key}"):
+        spans = secret_scan.scan_text(text)
+        assert spans and key not in secret_scan.redact(text, spans), text
+    blob = "".join(random.Random(6).choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(4000))
+    text = blob[:2000] + "xXxX" + blob[2000:]
+    # a window at an end may fall below the threshold
+    assert len(secret_scan.redact(text, secret_scan.scan_text(text)).replace("[SECRET]", "")) < 20
+    assert secret_scan.scan_text("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY") == []
+    assert secret_scan.scan_text("placeholder-placeholder") == []
+    assert secret_scan.entropy_spans("your-key-q7Xe2Lw9Zb4Rt6") == []
+
+
 def test_byte_bpe(docs, rows, none):
     public = pytest.importorskip("public_tokenizers")
     import tiktoken
