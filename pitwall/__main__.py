@@ -62,7 +62,7 @@ def cmd_train(args) -> None:
     feats = spark.read.parquet(args.features)
     target = LAP_TIME_TARGET if args.target == "lap_time" else POSITION_TARGET
     ts = training.prepare(feats, target, feature_set=args.feature_set)
-    board, paths = training.leaderboard(ts, full=args.full)
+    board, paths = training.leaderboard(ts)
     for row in board.orderBy("mae").collect():
         print(json.dumps(row.asDict()))
     if args.sheet:
@@ -104,7 +104,6 @@ def main(argv=None) -> None:
     t.add_argument("--target", choices=["lap_time", "position"], default="lap_time")
     t.add_argument("--feature-set", choices=["prerace", "all"], default="prerace")
     t.add_argument("--sheet", default=None)
-    t.add_argument("--full", action="store_true", help="reference-sized searches")
     t.set_defaults(fn=cmd_train)
 
     args = p.parse_args(argv)

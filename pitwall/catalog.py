@@ -816,10 +816,10 @@ def _training_set(spark, sf_dir, target=C.LAP_TIME_TARGET) -> "TR.TrainingSet":
     return TR.prepare(feature_table(spark, sf_dir), target)
 
 
-def _search_rows(spark, ts, cv) -> DataFrame:
-    cvm = cv.fit(ts.frame.filter(~F.col("is_test")))
+def _search_rows(spark, ts, search) -> DataFrame:
+    found = TR.searched(ts, search)
     ts.release()
-    return spark.createDataFrame(TR.cv_results(cvm), "params string, cv_mae double")
+    return spark.createDataFrame(TR.cv_results(found), "params string, cv_mae double")
 
 
 @register("search_lasso")
