@@ -10,18 +10,21 @@ covering radius plus threshold (61 on average for t = 2), and per anchor the
 fingerprints at home are compared with all that came. The 2^24 anchors spread
 the work; tables are built by rule from the code's generator.
 
-Equal fingerprints are one class (partial aggregates), so copies meet nowhere.
-An anchor with more than ``HOT`` visitors is not handled by one task: its
-fingerprints go to finer hubs instead, all words within t / 2 bits of them; two
-fingerprints share a hub exactly if they differ in at most t bits, and a hub
-holds at most 65 of them (t = 2). Each comparison keeps a spanning forest of its
-links, so no group is expanded into pairs. Components follow from the forests.
+Equal fingerprints are one class (partial aggregates), so copies meet nowhere. A
+home with more than ``HOT`` fingerprints is crowded; those fingerprints, and the
+others that visit a crowded anchor, go to finer hubs instead: all words within
+t / 2 bits of them. Two fingerprints share a hub exactly if they differ in at most
+t bits, and a hub holds at most 65 of them (t = 2). What lives in calm homes is
+replicated and shuffled once, so the visitors of one anchor are bounded by ``HOT``
+times the number of homes near it, whatever the corpus. Each comparison keeps a
+spanning forest of its links, so no group is expanded into pairs. Components
+follow from the forests.
 
 Defined results: null and empty texts have fingerprint zero, linked like any
 other; texts of fewer than ``k`` words have one shingle; repeated rows are each
 returned; a null doc_id is never the least of a component that has others. Only
 doc_id and text are read, whatever other columns are called. An empty table
-gives no rows. Memory of a task follows one text, or one anchor's ``HOT``.
+gives no rows. Memory of a task follows one text, or the visitors of one anchor.
 """
 
 from __future__ import annotations
@@ -39,13 +42,15 @@ from pitwall.llm.components import components
 K = 3
 THRESHOLD = 2
 SEED = 42
-HOT = 4096
+HOT = 1024
 #: Shingle hashes unpacked together, and pairs compared together.
 UNPACKED, COMPARED = 500_000, 4_000_000
 
 # Length and radius of the perfect Golay code, its generator
 # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1, and the blocks of a fingerprint.
 LENGTH, RADIUS, GENERATOR, BLOCKS = 23, 3, 0b110001110101, 2
+#: Kinds of rows at an anchor, in their order there.
+CROWDED, AT_HOME, VISITING = 0, 1, 2
 
 
 def simhash(text: str, k: int = K) -> int:
@@ -70,16 +75,17 @@ def simhash(text: str, k: int = K) -> int:
 
 
 def fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of each row."""
+    """doc_id, fp (the fingerprint as a signed long) and its home anchor of each row."""
 
     def run(batches):
         import pyarrow as pa
 
         for ids, group in texts(batches):
             fps = np.array([simhash(t, k) for t in group], np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            columns = [pa.array(ids, pa.int64()), pa.array(fps.view(np.int64)), pa.array(visits(fps, 0)[1])]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "home"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint, home bigint")
 
 
 @cache
@@ -143,8 +149,9 @@ def _visitor(threshold: int):
             for i in range(0, len(every), 10_000):
                 fps = every[i : i + 10_000]
                 place, anchor, home = visits(fps, threshold)
+                kind = np.where(home, AT_HOME, VISITING).astype(np.int8)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor), pa.array(fps[place].view(np.int64)), pa.array(home)], names=["anchor", "fp", "home"]
+                    [pa.array(anchor), pa.array(fps[place].view(np.int64)), pa.array(kind)], names=["anchor", "fp", "kind"]
                 )
 
     return run
@@ -170,44 +177,45 @@ def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _compare(threshold: int):
-    """mapInArrow body over (anchor, fp, home) sorted by anchor: per anchor, the
-    fingerprints at home against all that came. Gives forests of links."""
+    """mapInArrow body over (anchor, fp, kind) sorted by anchor and kind: per anchor, the
+    fingerprints at home against all that came. Gives forests of links u, v, and the
+    visitors of crowded anchors as u with a null v."""
 
-    def links(anchor, fp, home):
-        edge = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
-        begin = np.concatenate([[0], edge])
+    def links(anchor, fp, kind):
+        begin = np.append(0, np.flatnonzero(anchor[1:] != anchor[:-1]) + 1)
         size = np.diff(np.append(begin, len(anchor)))
-        at = np.flatnonzero(home)
+        at = np.flatnonzero(kind == AT_HOME)
         run = np.searchsorted(begin, at, side="right") - 1
         n = size[run]
-        made = np.cumsum(n)
-        lo = 0
+        made, lo = np.cumsum(n), 0
         while lo < len(at):
             hi = max(lo + 1, int(np.searchsorted(made, made[lo] - n[lo] + COMPARED, side="right")))
             m = n[lo:hi]
             own = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
             x, y = fp[np.repeat(at[lo:hi], m)], fp[np.repeat(begin[run[lo:hi]], m) + own]
-            near = (np.bitwise_count((x ^ y).view(np.uint64)) <= threshold)  # of the bits, not of the signed value
+            near = np.bitwise_count((x ^ y).view(np.uint64)) <= threshold  # of the bits, not of the signed value
             near &= x != y
-            yield x[near], y[near]
+            if near.any():
+                yield forest(x[near], y[near])
             lo = hi
+        crowded = np.repeat(kind[begin] == CROWDED, size) & (kind == VISITING)
+        if crowded.any():
+            yield fp[crowded], None
 
     def run(batches):
         import pyarrow as pa
 
-        held = None
+        held = [np.zeros(0, t) for t in (np.int64, np.int64, np.int8)]
         for rb in _with_end(batches):
             if rb is not None:
-                now = [rb.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "fp", "home")]
-                held = now if held is None else [np.concatenate(p) for p in zip(held, now)]
-                cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last run may go on
-            else:
-                cut = len(held[0]) if held else 0
+                now = [rb.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("anchor", "fp", "kind")]
+                held = [np.concatenate(p) for p in zip(held, now)]
+            # the last anchor may go on in the next batch
+            cut = len(held[0]) if rb is None or not len(held[0]) else int(np.searchsorted(held[0], held[0][-1]))
             if cut:
-                for x, y in links(*[c[:cut] for c in held]):
-                    if len(x):
-                        u, v = forest(x, y)
-                        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+                for u, v in links(*[c[:cut] for c in held]):
+                    right = pa.nulls(len(u), pa.int64()) if v is None else pa.array(v)
+                    yield pa.RecordBatch.from_arrays([pa.array(u), right], names=["u", "v"])
                 held = [c[cut:] for c in held]
 
     return run
@@ -220,32 +228,35 @@ def _with_end(batches):
 
 def near_links(classes: DataFrame, threshold: int = THRESHOLD, hot: int = HOT) -> DataFrame:
     """Links u, v (signed fingerprints) whose components are those of all pairs of
-    ``classes.fp`` (distinct) with at most ``threshold`` differing bits."""
+    ``classes`` (fp, home; fp distinct) with at most ``threshold`` differing bits."""
     if threshold not in (0, 2):
         raise ValueError("hubs are exact for an even threshold; 0 and 2 are built")
-    visited = save(classes.select("fp").mapInArrow(_visitor(threshold), "anchor bigint, fp bigint, home boolean"), "visits")
-    count = visited.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("lived")).where("lived and n > 1")
-    count = save(count.select("anchor", "n"), "anchors")
-    here = visited.join(count.where(F.col("n") <= hot).select("anchor"), "anchor", "left_semi")
-    here = here.repartition("anchor").sortWithinPartitions("anchor")
-    found = here.mapInArrow(_compare(threshold), "u bigint, v bigint")
-    crowd = visited.join(count.where(F.col("n") > hot).select("anchor"), "anchor", "left_semi").select("fp").distinct()
-    flips = F.expr("transform(sequence(0, 64), i -> if(i = 64, fp, fp ^ shiftleft(1L, i)))")
-    hubs = crowd.select("fp", F.explode(flips).alias("hub")) if threshold else crowd.select("fp", F.col("fp").alias("hub"))
-    shared = hubs.groupBy("hub").agg(F.collect_set("fp").alias("around")).where("size(around) > 1")  # at most 65
+    crowded = classes.groupBy("home").count().where(F.col("count") > hot).select("home")
+    crowded = save(crowded, "crowded")
+    calm, dense = classes.join(crowded, "home", "left_anti"), classes.join(crowded, "home", "left_semi")
+    visited = calm.select("fp").mapInArrow(_visitor(threshold), "anchor bigint, fp bigint, kind tinyint")
+    marks = crowded.select(F.col("home").alias("anchor"), F.lit(None).cast("bigint").alias("fp"), F.lit(CROWDED).cast("tinyint").alias("kind"))
+    met = visited.unionAll(marks).repartition("anchor").sortWithinPartitions("anchor", "kind")
+    found = save(met.mapInArrow(_compare(threshold), "u bigint, v bigint"), "met")
+    crowd = dense.select(F.col("fp").alias("u")).unionAll(found.where("v is null").select("u")).distinct()
+    words = "transform(sequence(0, 64), i -> if(i = 64, u, u ^ shiftleft(1L, i)))" if threshold else "array(u)"
+    hubs = crowd.select("u", F.explode(F.expr(words)).alias("hub"))
+    shared = hubs.groupBy("hub").agg(F.collect_set("u").alias("around")).where("size(around) > 1")  # at most 65
     shared = shared.select(F.explode("around").alias("u"), F.array_min("around").alias("v")).where("u <> v")
-    return found.unionAll(shared)
+    return found.where("v is not null").unionAll(shared)
 
 
 def near_duplicates(docs: DataFrame, k: int = K, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, fp and component_id (the least doc_id reachable) of each row."""
     rows = save(fingerprints(docs, k), "fingerprints")
-    classes = save(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp-classes")
+    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.first("home").alias("home"))
+    classes = save(classes, "fp-classes")
     roots = components(save(near_links(classes, threshold), "near-links"))
     named = classes.join(roots.select(F.col("u").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = save(named, "fp-roots")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(named.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    of_class = named.join(least, "root").select("fp", "component_id")
+    return rows.join(of_class, "fp").select("doc_id", "fp", "component_id")
 
 
 def query(spark, sf_dir):
