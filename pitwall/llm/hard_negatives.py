@@ -44,49 +44,62 @@ BLOCK, ANCHORS = 8192, 1024
 FIRST_STEP = 32
 
 
+def exact_kind(most: int, width: int) -> type:
+    """The cheapest number type that holds products of ``width`` components of at most
+    ``most``, and all their partial sums, exactly."""
+    bound = most * most * max(1, width)
+    return np.float32 if bound < 1 << 24 else np.float64 if bound < 1 << 53 else np.int64
+
+
 class Lists:
     """Candidates of a block with one sorted list per dimension."""
 
-    def __init__(self, x: np.ndarray):
-        self.x = x
-        self.order = np.argsort(x, axis=0, kind="stable").T  # a row per dimension, ascending
+    def __init__(self, x: np.ndarray, kind: type = np.int64):
+        self.x = x.astype(kind)
+        self.up = np.argsort(x, axis=0, kind="stable").T.astype(np.int32, order="C")  # a row per dimension
+        self.down = np.ascontiguousarray(self.up[:, ::-1])
 
     def search(self, anchor: np.ndarray, windows: list[tuple], take: int, allowed: np.ndarray, ties: list[np.ndarray]):
         """For each window (least score or None, largest score or None) the places of
         its ``take`` best allowed candidates, best first, and their scores."""
-        n = len(self.x)
-        dims = np.flatnonzero(anchor)
-        weight = anchor[dims]
-        lists = np.where((weight > 0)[:, None], self.order[dims, ::-1], self.order[dims])
-        best = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in windows]
+        n, none = len(self.x), np.zeros(0, np.int64)
+        anchor = anchor.astype(self.x.dtype)
+        rising, falling = np.flatnonzero(anchor < 0), np.flatnonzero(anchor > 0)
+        weight = np.append(anchor[rising], anchor[falling])
+        dims = np.append(rising, falling)
+        best = [(none, none) for _ in windows]
+        # what a window still takes: nothing below its floor, where a tie may be of use
+        floor = [-np.inf if low is None else low for low, _ in windows]
+        closed = [low is not None and high is not None and low > high for low, high in windows]
         seen, depth, step = np.zeros(n, bool), 0, FIRST_STEP
-        while depth < n:
+        while depth < n and not all(closed):
             upto = min(n, depth + step)
-            met = np.ones(n, bool) if not len(dims) else np.zeros(n, bool)
-            met[lists[:, depth:upto]] = True
-            fresh = np.flatnonzero(met & ~seen)
+            part = np.concatenate([self.up[rising, depth:upto], self.down[falling, depth:upto]])
+            met = np.full(n, not len(dims))
+            met[part.ravel()] = True
+            fresh = np.flatnonzero(met > seen)
             seen |= met
             score = self.x[fresh] @ anchor
-            ok = allowed[fresh]
-            fresh, score = fresh[ok], score[ok]
-            bounds = []
-            for w, (low, high) in enumerate(windows):
-                inside = np.ones(len(score), bool)
-                if low is not None:
-                    inside &= score >= low
-                if high is not None:
-                    inside &= score <= high
-                if inside.any():
-                    at, s = np.append(best[w][0], fresh[inside]), np.append(best[w][1], score[inside])
+            useful = allowed[fresh]
+            useful &= score >= min(f for f, c in zip(floor, closed) if not c)
+            fresh, score = fresh[useful], score[useful].astype(np.int64)
+            order = np.argsort(score)
+            fresh, score = fresh[order], score[order]
+            for w, (_, high) in enumerate(windows):
+                end = len(score) if high is None else np.searchsorted(score, high, side="right")
+                begin = np.searchsorted(score, floor[w])
+                if end - begin > take:  # its best, and all that tie with the last of them
+                    begin = max(begin, np.searchsorted(score, score[end - take]))
+                if end > begin and not closed[w]:
+                    at, s = np.append(best[w][0], fresh[begin:end]), np.append(best[w][1], score[begin:end])
                     first = np.lexsort([*[t[at] for t in ties[::-1]], -s])[:take]
                     best[w] = at[first], s[first]
-                empty = low is not None and high is not None and low > high
-                bounds.append(np.inf if empty else best[w][1][-1] if len(best[w][1]) == take else low)
+                    if len(first) == take:
+                        floor[w] = int(s[first[-1]])
             if seen.all():
                 break
-            threshold = int(weight @ self.x[lists[:, upto - 1], dims])
-            if all(b is not None and threshold < b for b in bounds):
-                break
+            threshold = int(weight @ self.x[part[:, -1], dims])
+            closed = [c or threshold < f for c, f in zip(closed, floor)]
             depth, step = upto, 2 * step
         return best
 
@@ -119,11 +132,12 @@ def _unit(take: int):
             a, x = _matrix(left["vector"], width), _matrix(right["x"], width)
             rid, vec, label = (right[c].to_numpy() for c in ("_rid", "id", "label"))
             windows, own = left["windows"].to_pylist(), left["own"].to_numpy()
+            kind = exact_kind(int(max(np.abs(a).max(initial=0), np.abs(x).max(initial=0))), width)
             of_label: dict = {}
             if any(not w for w in windows):
                 of_label = {v: np.flatnonzero(label == v) for v in np.unique(own)}
-                parts = {v: Lists(x[at]) for v, at in of_label.items()}
-            whole = Lists(x) if any(windows) else None
+                parts = {v: Lists(x[at], kind) for v, at in of_label.items()}
+            whole = Lists(x, kind) if any(windows) else None
             for i, r in enumerate(left["anchor"].to_pylist()):
                 if windows[i]:
                     at = np.arange(len(x))

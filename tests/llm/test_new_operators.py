@@ -193,6 +193,7 @@ def test_lists_stop_early():
     ids = np.arange(5000)
     ((at, score),) = lists.search(np.array([9, 1, 0, -1]), [(None, None)], 10, np.ones(5000, bool), [ids, ids])
     want = np.lexsort([ids, -(x @ np.array([9, 1, 0, -1]))])[:10]
+    assert [hard_negatives.exact_kind(m, 64) for m in (256, 1 << 20, 1 << 24)] == [np.float32, np.float64, np.int64]
     assert at.tolist() == want.tolist() and Counted.read < 2500
 
 
