@@ -31,10 +31,21 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (lineage is cut, and
-    a lost executor costs no recomputation). The table stays for the session."""
+    a lost executor costs no recomputation). The table stays for the session, unless
+    it is dropped."""
     path = scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def drop(*saved: DataFrame) -> None:
+    """Deletes tables that ``save`` returned, once all that reads them is saved."""
+    for df in saved:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -155,6 +166,7 @@ def numbered(
     carry: list[str],
     name: str,
     weight: str | None = None,
+    hashed: bool = False,
 ) -> DataFrame:
     """``carry`` columns plus ``name`` (long, from 0) for each row of ``df``.
 
@@ -163,21 +175,28 @@ def numbered(
     order). Rows are range-partitioned on (keys, order), so a hot key covers a
     run of partitions; one Arrow pass numbers each sorted partition, and one
     summary row per partition (bounded by the partition count) carries the
-    numbers on. ``order`` should make the order total where it matters."""
+    numbers on. ``order`` should make the order total where it matters.
+
+    ``hashed`` (without weight) ranks by a 128-bit hash of the keys, then the keys, so
+    that the range bounds sampled to the driver are small whatever the keys' size.
+    Different keys never get one number; one key could get two only if another with
+    the same 128 bits met it where a partition ends."""
     spark = df.sparkSession
-    n, sort = len(keys), [*keys, *order]
+    n = len(keys)
     cols = [*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]]
     cols += [F.col(weight).cast("bigint").alias("_w")] if weight else []
     extra = [F.col(o).alias(f"_o{i}") for i, o in enumerate(order)]
     flat = df.select(*cols, *extra, *[F.col(c) for c in carry])
-    by = [*[f"_k{i}" for i in range(n)], *[f"_o{i}" for i in range(len(order))]]
-    ranged = flat.repartitionByRange(shuffle_partitions(spark), *by).sortWithinPartitions(*by)
-    ranged = ranged.drop(*[f"_o{i}" for i in range(len(sort) - n)])
+    by_key, by_order = [f"_k{i}" for i in range(n)], [f"_o{i}" for i in range(len(order))]
+    spread = [f"_h{i}" for i in range(2 * hashed)]
+    flat = flat.select("*", *[F.xxhash64(*by_key, F.lit(i)).alias(h) for i, h in enumerate(spread)])
+    ranged = flat.repartitionByRange(shuffle_partitions(spark), *(spread or by_key), *by_order)
+    ranged = ranged.sortWithinPartitions(*spread, *by_key, *by_order).drop(*spread, *by_order)
     kinds = [f.dataType for f in ranged.schema.fields]
     names = _names(ranged.columns, n, bool(weight))
     types = [T.IntegerType(), T.LongType(), *kinds[:n], *kinds[:n], *kinds[n + bool(weight) :]]
     schema = T.StructType([T.StructField(a, t) for a, t in zip(names, types)])
-    out = save(ranged.mapInArrow(_numberer(n, bool(weight)), schema), name)
+    out = save(ranged.mapInArrow(_numberer(n, bool(weight)), schema), name)  # stays: the result reads it
     by_pid = Window.orderBy("_pid")  # one row per partition
     summary = out.where("_pid < 0").withColumn("_pid", -1 - F.col("_pid"))
     total = F.sum("_n").over(by_pid) - F.col("_n")

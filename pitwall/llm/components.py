@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import save
+from pitwall.llm.common import drop, save
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -32,7 +32,8 @@ def components(edges: DataFrame) -> DataFrame:
     smallest of its component. Self edges and repeated edges do not matter."""
     now = save(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
     while not _stars(now):
-        now = save(_star(_star(now, True), False), "edges")
+        last, now = now, save(_star(_star(now, True), False), "edges")
+        drop(last)
     return now.select("u", F.col("v").alias("root"))
 
 

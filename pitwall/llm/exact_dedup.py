@@ -10,8 +10,9 @@ pair of names, so no digest can collide. 0 stands for "no right neighbour"
 
 One shuffle moves the text itself (the sort of the blocks); later rounds move
 names, halving each time: log2 of the longest document rounds. The sort is a
-range partition on (block, row), so a block that a third of all rows share
-covers many partitions. ``_rid`` is the place of a row in its input split,
+range partition on (hash of the block, row), so a block that a third of all rows
+share covers many partitions and no block is sampled to the driver; inside a
+partition whole blocks are compared. ``_rid`` is the place of a row in its input split,
 stored once for all passes.
 
 Defined results: null counts as empty, and empty texts are equal. Of rows that
@@ -63,7 +64,7 @@ def identities(rows: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     (_round, _name)."""
     blocks = rows.select("_rid", "doc_id", "text").mapInArrow(_blocker(block_bytes), _BLOCKS)
     carry = ["_rid", "doc_id", "text_sha256", "_pos", "_left"]
-    names = numbered(blocks, ["_block"], ["_rid", "_pos"], carry, "_name").withColumn("_name", F.col("_name") + 1)
+    names = numbered(blocks, ["_block"], ["_rid", "_pos"], carry, "_name", hashed=True).withColumn("_name", F.col("_name") + 1)
     done, level = [], 0
     most = names.agg(F.max("_left")).first()[0] or 0
     while True:

@@ -20,10 +20,20 @@ against one pivot (``STARS`` rounds with different pivots, first the document
 whose prefix has the longest posting lists, as an original has among its
 edited copies), components are formed, and then all candidate pairs whose documents still are in different
 components are verified. So every link between different components is tested
-and the components are exact. Before those pairs are made, a bitmap filter
-drops the ones that cannot link: each set has ``64 * WORDS`` parity bits (a
+and the components are exact.
+
+For that last step prefixes are lengthened by what their lists cost: l is a
+twentieth of the set, at least ``MOST``. A list is heavy if it holds ``HEAVY`` or more
+components, however large the corpus. A document with fewer than l heavy shingles
+among its n - ceil(t n) + l needs none of them: of the l shared ones at least l less
+those is in a light list, and that many light matches are required (of the pair, the
+document with the lesser l decides). Pairs are made in heavy lists only where that
+document has l heavy shingles or more. So passages that ever more documents
+share make no pairs of their own; the rows follow the light lists.
+
+Before pairs are made, a bitmap filter drops the ones that cannot link: each set has ``64 * WORDS`` parity bits (a
 shingle flips one), and two bitmaps never differ in more bits than the sets
-differ in shingles. Documents that only share a passage end there.
+differ in shingles.
 
 Defined results: null and empty texts have no shingles and stay alone; texts
 of fewer than ``k`` words have one shingle; repeated rows are one class. An
@@ -39,13 +49,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.llm.bpe import Hasher
-from pitwall.llm.common import LOWER, rows_of, save, stored_rows
+from pitwall.llm.common import LOWER, drop, rows_of, save, stored_rows
 from pitwall.llm.components import components
 
 K = 5
 PERCENT = 80
 FREQUENT = 8000
-MOST = 4  # the longest prefix extension that is considered
+MOST = 4  # the longest prefix extension considered against pivots
+SPARE = 20  # one shingle in so many lengthens the prefix of the last step
+HEAVY = 8  # components in a list that is left out where the prefix allows
 STARS = 3
 RUN_CHARS = 1_500_000
 #: Shingles counted together, and the count from which a split reports one.
@@ -179,7 +191,7 @@ def _prefixes(k: int, percent: int, shingles: np.ndarray, dfs: np.ndarray):
                     if not n or seen.get(key, rid) < rid:
                         continue
                     seen[key] = rid
-                    m = min(n, n - needed(n, percent) + MOST)
+                    m = min(n, n - needed(n, percent) + max(MOST, n // SPARE))
                     at = np.minimum(np.searchsorted(shingles, s), max(0, len(shingles) - 1))
                     df = np.where(shingles[at] == s, dfs[at], 0) if len(shingles) else np.zeros(n, np.int64)
                     if df.any():
@@ -227,9 +239,10 @@ def _verifier(k: int, percent: int):
 
 
 def _adaptive(tokens: DataFrame, percent: int) -> DataFrame:
-    """Chooses l per document and keeps its prefix: adds l."""
+    """Chooses l (at most ``MOST``) per document and keeps its prefix, saved: adds l."""
     base = F.col("n") - F.expr(f"(n * {percent} + 99) div 100")  # prefix of l has base + l places
-    counted = tokens.join(tokens.groupBy("token").agg((F.count(F.lit(1)) - 1).alias("others")), "token").where("others > 0")
+    counted = tokens.where(F.col("place") < base + MOST)
+    counted = counted.join(counted.groupBy("token").agg((F.count(F.lit(1)) - 1).alias("others")), "token").where("others > 0")
     counted = save(counted, "postings")
     costs = counted.groupBy("_rid", "n").agg(
         *[F.sum(F.when(F.col("place") < base + i, F.col("others")).otherwise(0)).alias(f"c{i}") for i in range(1, MOST + 1)]
@@ -240,7 +253,39 @@ def _adaptive(tokens: DataFrame, percent: int) -> DataFrame:
     cost = F.filter(F.array(*cost), lambda c: c["l"] <= most)
     chosen = costs.select("_rid", F.array_min(cost)["l"].alias("l"), (F.col(f"c{MOST}") / F.col("n")).alias("score"))
     kept = counted.join(chosen, "_rid").where(F.col("place") < base + F.col("l"))
-    return kept.select("token", "_rid", "n", "l", "score")
+    out = save(kept.select("token", "_rid", "n", "l", "score"), "prefixes")
+    drop(counted)
+    return out
+
+
+def _apart(tokens: DataFrame, roots: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs u, v of different components."""
+    rooted = save(_rooted(tokens, roots), "rooted")
+    # components in a list are counted from one row per (list, component)
+    lists = rooted.select("token", "root").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    left = rooted.join(lists.select("token", (F.col("parts") >= HEAVY).alias("heavy")), "token")
+    left = save(left, "apart")
+    need = f"((n * {percent} + 99) div 100)"
+    length = f"least({need}, greatest({MOST}, n div {SPARE}))"  # of n - need + l places, at most n
+    docs = left.groupBy("_rid").agg(F.first("n").alias("n"), F.first("root").alias("root"), F.sum(F.col("heavy").cast("int")).alias("f"))
+    docs = docs.select("_rid", "n", "root", F.expr(length).alias("l"), "f").join(classes, "_rid")
+    docs = save(docs.withColumn("lack", F.col("f") >= F.col("l")), "prefix-costs")
+    at = left.select("token", "_rid", "heavy").join(docs, "_rid")
+    a = at.select("token", "heavy", F.col("_rid").alias("u"), "n", "l", "f", "lack", F.col("root").alias("ru"), *PARITY)
+    other = [F.col(p).alias(f"q{p}") for p in PARITY]
+    b = at.select("token", F.col("_rid").alias("v"), F.col("n").alias("pn"), F.col("l").alias("pl"), F.col("f").alias("pf"),
+                  F.col("lack").alias("plack"), F.col("root").alias("rv"), *other)
+    near = f"100 * least(n, pn) >= {percent} * greatest(n, pn)"
+    differ = " + ".join(f"bit_count({p} ^ q{p})" for p in PARITY)
+    alike = f"({differ}) * {100 + percent} <= (n + pn) * {100 - percent}"
+    lacking = "if(l < pl, lack, if(pl < l, plack, lack and plack))"
+    matched = a.join(b, "token").where(f"u < v and ru <> rv and {near} and {alike} and (not heavy or {lacking})")
+    light = "if(l < pl, l - f, if(pl < l, pl - pf, l - least(f, pf)))"
+    least = F.expr(f"if({lacking}, least(l, pl), {light})").alias("least")
+    pairs = matched.groupBy("u", "v", least).count().where("count >= least").select("u", "v")
+    pairs = save(pairs, "pairs")
+    drop(rooted, left, docs)
+    return pairs
 
 
 def links(source: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -267,11 +312,13 @@ def links(source: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFr
     together = Window.partitionBy("token", "_salt")
     shared = tokens.withColumn("_salt", salt).withColumn("_c", F.count(F.lit(1)).over(together))
     shared = shared.where("hot or _c > 1").drop("_c", "_salt", "hot")
-    shared = save(shared, "tokens").join(classes.select("_rid"), "_rid", "left_semi")
-    postings = save(_adaptive(save(shared, "tokens"), percent), "prefixes")
+    found = save(shared, "shared")
+    tokens = save(found.join(classes.select("_rid"), "_rid", "left_semi"), "tokens")
+    drop(found)
+    postings = _adaptive(tokens, percent)
     near = f"100 * least(n, pn) >= {percent} * greatest(n, pn)"
     texts_of = source.select("_rid", F.coalesce("text", F.lit("")).alias("text"))
-    needed_rows = save(texts_of.join(postings.select("_rid").distinct(), "_rid", "left_semi"), "texts")
+    needed_rows = save(texts_of.join(tokens.select("_rid").distinct(), "_rid", "left_semi"), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
         one = needed_rows.select(F.col("_rid").alias("u"), F.col("text").alias("text_u"))
@@ -279,7 +326,15 @@ def links(source: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFr
         full = pairs.select("u", "v").join(one, "u").join(two, "v").sortWithinPartitions("v")
         return full.mapInArrow(_verifier(k, percent), "u bigint, v bigint")
 
-    edges, roots = None, None
+    def joined(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
+        """Components of the links of ``pairs`` and of the stars known so far."""
+        found = verified(pairs)
+        edges = save(found if roots is None else found.unionAll(roots.select("u", F.col("root").alias("v"))), "links")
+        out = components(edges)
+        drop(edges)
+        return out
+
+    roots = None
     for star in range(STARS):
         here = postings if roots is None else _rooted(postings, roots)
         first, hashed = (F.lit(0.0) if star else -F.col("score")), F.xxhash64("_rid", F.lit(star))
@@ -291,22 +346,14 @@ def links(source: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFr
             pivot = pivot.where("_lo <> _hi")
         pairs = here.join(pivot, "token").select(F.col("_rid").alias("u"), "n", "p.v", "p.pn", "l").where("u <> v and " + near)
         pairs = pairs.groupBy("u", "v", "l").count().where("count >= l")
-        found = verified(pairs)
-        edges = save(found if edges is None else found.unionAll(edges), "links")
-        roots = components(edges)
+        roots = joined(pairs, roots)
+    drop(postings)
     # every candidate pair that is still apart
-    rooted = save(_rooted(postings, roots), "rooted")
-    split = rooted.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi")
-    left = save(rooted.join(split.select("token"), "token", "left_semi").join(classes, "_rid"), "apart")
-    a = left.select("token", F.col("_rid").alias("u"), "n", "l", F.col("root").alias("ru"), *PARITY)
-    other = [F.col(p).alias(f"q{p}") for p in PARITY]
-    b = left.select("token", F.col("_rid").alias("v"), F.col("n").alias("pn"), F.col("l").alias("pl"), F.col("root").alias("rv"), *other)
-    differ = " + ".join(f"bit_count({p} ^ q{p})" for p in PARITY)
-    alike = f"({differ}) * {100 + percent} <= (n + pn) * {100 - percent}"
-    pairs = a.join(b, "token").where(f"u < v and ru <> rv and {near} and {alike}")
-    pairs = pairs.groupBy("u", "v", F.least("l", "pl").alias("m")).count().where("count >= m")
-    edges = save(verified(pairs).unionAll(edges), "links")
-    return profile, components(edges)
+    pairs = _apart(tokens, roots, classes, percent)
+    drop(tokens)
+    roots = joined(pairs, roots)
+    drop(pairs, needed_rows, classes)
+    return profile, roots
 
 
 def _rooted(postings: DataFrame, roots: DataFrame) -> DataFrame:
@@ -317,7 +364,10 @@ def _rooted(postings: DataFrame, roots: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the least
     doc_id reachable by links), kept (one row of each component) and _rid."""
-    return near_rows(stored_rows(docs, "doc_id", "text"), k, percent)
+    rows = stored_rows(docs, "doc_id", "text")
+    out = near_rows(rows, k, percent)
+    drop(rows)
+    return out
 
 
 def near_rows(rows: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
