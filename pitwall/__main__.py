@@ -2,7 +2,7 @@
 
   python -m pitwall collect  --laps L --weather W --out DIR [--csv]
   python -m pitwall features --laps L [--sheet CSV --year Y --round R] --out DIR
-  python -m pitwall train    --features DIR --target lap_time|position [--sheet CSV] [--full]
+  python -m pitwall train    --features DIR --target lap_time|position [--sheet CSV] [--aliases CSV]
 
 Inputs are Parquet folders (or CSV with --csv for the collected laps); every
 step runs on the session's cluster, outputs are partitioned Parquet.
@@ -37,20 +37,35 @@ def cmd_collect(args) -> None:
 
 def cmd_features(args) -> None:
     from pitwall.plans.features import driver_race_features
-    from pitwall.sources.io import read_laps_csv, read_sheet_csv, write_features
+    from pitwall.sources.io import FEED_LAP_SCHEMA, read_laps_csv, read_sheet_csv, write_features
 
     spark = _spark()
     if args.laps_csv:
-        laps, rejects = read_laps_csv(spark, args.laps)
+        laps, rejects = read_laps_csv(spark, args.laps, FEED_LAP_SCHEMA, args.multi_line)
         print(json.dumps({"rejected_lines": rejects.count()}))
     else:
         laps = spark.read.parquet(args.laps)
     sheet = read_sheet_csv(spark, args.sheet) if args.sheet else None
+    aliases = read_sheet_csv(spark, args.aliases) if args.aliases else None
     feats = driver_race_features(
-        laps, sheet=sheet, year=args.year, round_=args.round, prior_only=args.prior_only
+        laps, sheet=sheet, year=args.year, round_=args.round, prior_only=args.prior_only, aliases=aliases
     )
     write_features(feats, args.out)
     print(json.dumps({"columns": feats.columns}))
+    if sheet is not None:
+        print_unmatched(sheet, laps, aliases)
+
+
+def print_unmatched(sheet, known, aliases) -> None:
+    """Names of a sheet that no driver key stands for (a sheet has one row per driver)."""
+    from pitwall.operators.quali import apply_driver_aliases, unmatched_drivers
+    from pitwall.plans.inference import sheet_inputs
+
+    drivers = sheet_inputs(sheet).select("driver")
+    drivers = apply_driver_aliases(drivers, aliases) if aliases is not None else drivers
+    missing = sorted(str(r.driver) for r in unmatched_drivers(drivers, known).collect())
+    if missing:
+        print(json.dumps({"drivers_without_laps": missing}))
 
 
 def cmd_train(args) -> None:
@@ -69,10 +84,12 @@ def cmd_train(args) -> None:
         best = training.best_model(board)
         model, meta = training.load_model(spark, paths[best])
         sheet = read_sheet_csv(spark, args.sheet)
+        aliases = read_sheet_csv(spark, args.aliases) if args.aliases else None
+        print_unmatched(sheet, feats, aliases)
         if args.target == "lap_time":
-            out = inference.predict_race_time(model, meta, sheet, feats).orderBy("pred_race_pos")
+            out = inference.predict_race_time(model, meta, sheet, feats, aliases).orderBy("pred_race_pos")
         else:
-            out = inference.predict_position(model, meta, sheet, feats).orderBy("pred_final_position")
+            out = inference.predict_position(model, meta, sheet, feats, aliases).orderBy("pred_final_position")
         out.show(truncate=False)
 
 
@@ -92,6 +109,8 @@ def main(argv=None) -> None:
     f = sub.add_parser("features", help="lap records -> one row per driver-race")
     f.add_argument("--laps", required=True)
     f.add_argument("--laps-csv", action="store_true", help="laps are CSV with the raw schema")
+    f.add_argument("--multi-line", action="store_true", help="CSV cells may hold line ends")
+    f.add_argument("--aliases", default=None, help="CSV of sheet names and driver keys (name,driver)")
     f.add_argument("--sheet", default=None, help="qualifying sheet CSV for the current race")
     f.add_argument("--year", type=int, default=None)
     f.add_argument("--round", type=int, default=None)
@@ -104,6 +123,7 @@ def main(argv=None) -> None:
     t.add_argument("--target", choices=["lap_time", "position"], default="lap_time")
     t.add_argument("--feature-set", choices=["prerace", "all"], default="prerace")
     t.add_argument("--sheet", default=None)
+    t.add_argument("--aliases", default=None, help="CSV of sheet names and driver keys (name,driver)")
     t.set_defaults(fn=cmd_train)
 
     args = p.parse_args(argv)

@@ -1,4 +1,5 @@
 from pitwall.functions.timeparse import text_to_seconds, to_seconds, seconds_sql
+from pitwall.functions.columns import named
 from pitwall.functions.flags import (
     caution_flag,
     rain_flag,
@@ -8,6 +9,7 @@ from pitwall.functions.flags import (
 )
 
 __all__ = [
+    "named",
     "text_to_seconds",
     "to_seconds",
     "seconds_sql",

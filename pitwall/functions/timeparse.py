@@ -2,7 +2,9 @@
 
 Rules: numbers pass through as double; text is trimmed; '' -> NULL;
 'm:ss.xxx' -> 60 * int(m) + float(ss) (minus is not spread, '-1:30' = -30);
-text with more than one ':' -> NULL; anything unparsable -> NULL.
+a printed duration 'd days hh:mm:ss.ffffff' -> its seconds (days may be negative,
+the rest then counts forward); other text with more than one ':' -> NULL;
+anything unparsable -> NULL.
 """
 
 from __future__ import annotations
@@ -12,6 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+DURATION = r"^(-?\d+) days?(?: \+?(\d+):(\d+):(\d+(?:\.\d+)?))?$"
+
+
+def _duration(c: Column) -> Column:
+    days, hours, minutes, seconds = (F.regexp_extract(c, DURATION, i).try_cast("double") for i in range(1, 5))
+    rest = hours * 3600 + minutes * 60 + seconds
+    return days * 86400 + F.coalesce(rest, F.lit(0.0))
+
+
 def text_to_seconds(col: Column | str) -> Column:
     """Parse a string column holding 'm:ss.xxx' or plain seconds."""
     c = F.trim(F.col(col) if isinstance(col, str) else col)
@@ -20,6 +31,7 @@ def text_to_seconds(col: Column | str) -> Column:
     seconds = parts.getItem(1).try_cast("double")
     return (
         F.when(c == "", F.lit(None).cast("double"))
+        .when(F.instr(c, " day") > 0, F.when(c.rlike(DURATION), _duration(c)))
         .when(
             F.instr(c, ":") > 0,
             F.when(F.size(parts) == 2, minutes * 60 + seconds),

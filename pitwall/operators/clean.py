@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitwall.functions import named
+
 # The reference's sparse threshold, identifier columns, targets,
 # split seed / share and fold count.
 MISSING_THRESHOLD = 0.70
@@ -30,7 +32,7 @@ PRERACE_POSITION = [
 
 
 def _missing(df: DataFrame, name: str) -> Column:
-    c = F.col(name)
+    c = named(name)
     dtype = df.schema[name].dataType
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return (c.isNull() | F.isnan(c)).cast("double")
@@ -42,7 +44,7 @@ def sparse_report(
 ) -> DataFrame:
     """(column_name, null_frac, dropped) for every column, from one aggregate pass."""
     fr = df.agg(*[F.avg(_missing(df, c)).alias(c) for c in df.columns])
-    long = fr.unpivot([], df.columns, "column_name", "null_frac")
+    long = fr.unpivot([], [named(c) for c in df.columns], "column_name", "null_frac")
     return long.select(
         "column_name",
         "null_frac",
@@ -85,8 +87,8 @@ def feature_columns(df: DataFrame, target: str, feature_set: str = "prerace") ->
 
 def column_means(df: DataFrame, cols: list[str]) -> DataFrame:
     """One row per column: (feature, mean) over all rows, one aggregate pass."""
-    wide = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols])
-    return wide.unpivot([], cols, "feature", "mean")
+    wide = df.agg(*[F.avg(named(c).cast("double")).alias(c) for c in cols])
+    return wide.unpivot([], [named(c) for c in cols], "feature", "mean")
 
 
 def mean_impute(df: DataFrame, cols: list[str], means: dict[str, float] | None = None) -> DataFrame:
@@ -97,16 +99,16 @@ def mean_impute(df: DataFrame, cols: list[str], means: dict[str, float] | None =
     not given) and enter the plan as literals, so no join is needed.
     """
     if means is None:
-        row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
+        row = df.agg(*[F.avg(named(c).cast("double")).alias(c) for c in cols]).first()
         means = {c: row[c] for c in cols}
     return df.select(
         *[
             F.coalesce(
-                F.col(c).cast("double"),
+                named(c).cast("double"),
                 F.lit(float(means[c]) if means.get(c) is not None else 0.0),
             ).alias(c)
             if c in cols
-            else F.col(c)
+            else named(c)
             for c in df.columns
         ]
     )

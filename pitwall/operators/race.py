@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitwall.functions import caution_flag, is_true, normalise_nan, rain_flag, to_seconds
+from pitwall.functions import caution_flag, is_true, named, normalise_nan, rain_flag, to_seconds
 from pitwall.operators.joins import join_small
 from pitwall.operators.rank import prev_next
 
@@ -23,11 +23,6 @@ LAP_PARTITION = ["year", "round", "session_type", "driver"]
 RACE_KEYS = ["year", "round", "driver"]
 
 
-def named(column: str) -> Column:
-    """A column by its exact name: compound names may hold dots and spaces."""
-    return F.col("`" + column.replace("`", "``") + "`")
-
-
 def race_laps(laps: DataFrame) -> DataFrame:
     """Race-session laps with lap_time coerced to seconds (NaN as NULL)."""
     r = laps.filter(F.col("session_type") == "R")

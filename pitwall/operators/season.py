@@ -1,6 +1,6 @@
 """Season-level trends and lookups at driver-race grain.
 
-Season means are aggregates joined back (a counted broadcast when small),
+Season means are aggregates joined back,
 not windows over (year, team): a team-season can hold a large share of rows.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitwall.functions import named
 from pitwall.operators.joins import join_small
 
 
@@ -20,6 +21,7 @@ def season_trends(features: DataFrame, prior_only: bool = False) -> DataFrame:
     look-ahead): per-round sums, a running window with one row per round,
     joined back.
     """
+    kept = [named(c) for c in features.columns]
     if prior_only:
         out = _prior_means(
             features, ["year", "driver"],
@@ -28,7 +30,7 @@ def season_trends(features: DataFrame, prior_only: bool = False) -> DataFrame:
         )
         out = _prior_means(out, ["year", "team"], {"team_strength": "final_position"})
         return out.select(
-            *features.columns,
+            *kept,
             "season_avg_pos_delta", "driver_strength", "race_finish_pct", "team_strength",
         )
     by_driver = features.groupBy("year", "driver").agg(
@@ -42,7 +44,7 @@ def season_trends(features: DataFrame, prior_only: bool = False) -> DataFrame:
     out = join_small(features, by_driver, ["year", "driver"], "left")
     out = join_small(out, by_team, ["year", "team"], "left")
     return out.select(
-        *features.columns,
+        *kept,
         "season_avg_pos_delta",
         "driver_strength",
         "race_finish_pct",

@@ -9,7 +9,7 @@ Stages and their shuffles:
   2. quali and practice summaries: one conditional aggregate over the
      non-race laps (one scan), shuffled pre-reduced; the sheet joins by key.
   3. left joins at driver-race grain, targets, checkpoint.
-  4. season means: aggregates joined back with counted broadcasts.
+  4. season means: aggregates joined back.
   5. sparse-column drop: one aggregate pass, schema decided on the driver.
 """
 
@@ -18,8 +18,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitwall.functions import named
 from pitwall.operators.clean import drop_sparse_columns
 from pitwall.operators.quali import (
+    apply_driver_aliases,
+    driver_key,
     label_race,
     session_summaries,
     sheet_by_race,
@@ -61,19 +64,23 @@ def assemble(
     year: int | None = None,
     round_: int | None = None,
     compounds: list[str] | None = None,
+    aliases: DataFrame | None = None,
 ) -> DataFrame:
     """Race block LEFT quali LEFT practice, start grid and targets (no trends)."""
     race, compounds = race_block(laps, compounds)
     f = race.join(session_summaries(laps), RACE_KEYS, "left")
     if sheet is not None:
         sheet_std = standardise_sheet(label_race(sheet, laps, year, round_))
+        if aliases is not None:
+            sheet_std = apply_driver_aliases(sheet_std, aliases)
+        sheet_std = sheet_std.withColumn("driver", driver_key(F.col("driver"), laps))
         f = f.join(sheet_by_race(sheet_std), RACE_KEYS, "left")
         quali_time = F.coalesce(F.col("best_quali_time"), F.col("sheet_quali_time"))
         grid = F.coalesce(F.col("sheet_grid"), F.col("start_grid_race"))
     else:
         quali_time = F.col("best_quali_time")
         grid = F.col("start_grid_race")
-    pct = [f"pct_{c}" for c in compounds]
+    pct = [named(f"pct_{c}") for c in compounds]
     f = f.select(
         *RACE_KEYS,
         "team",
@@ -104,9 +111,11 @@ def driver_race_features(
     compounds: list[str] | None = None,
     prior_only: bool = False,
     drop_sparse: bool = True,
+    aliases: DataFrame | None = None,
 ) -> DataFrame:
-    """The feature table (see module docstring for the plan)."""
-    f = materialise(assemble(laps, sheet, year, round_, compounds))
+    """The feature table (see module docstring for the plan). ``aliases`` (name, driver)
+    maps a sheet's names to the laps' driver keys."""
+    f = materialise(assemble(laps, sheet, year, round_, compounds, aliases))
     f = season_trends(f, prior_only=prior_only)
     if drop_sparse:
         f = drop_sparse_columns(f)
