@@ -44,7 +44,9 @@ THRESHOLD = 2
 SEED = 42
 HOT = 1024
 #: Shingle hashes unpacked together, and pairs compared together.
-UNPACKED, COMPARED = 500_000, 4_000_000
+UNPACKED, COMPARED = 50_000, 1_000_000
+#: Characters of texts, and fingerprints, handled together.
+RUN_CHARS, VISITORS = 500_000, 2000
 
 # Length and radius of the perfect Golay code, its generator
 # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1, and the blocks of a fingerprint.
@@ -64,11 +66,11 @@ def simhash(text: str, k: int = K) -> int:
     joined, width = b" ".join(words), min(k, len(words))
     size = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(size + 1) - 1
-    begin, end = (ends - size)[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist()
+    begin, end = (ends - size)[: len(words) - width + 1], ends[width - 1 :]
     hashed, of = xxhash.xxh64_intdigest, memoryview(joined)
     counts = np.zeros(64, np.int64)
     for i in range(0, len(begin), UNPACKED):
-        part = [hashed(of[a:b], SEED) for a, b in zip(begin[i : i + UNPACKED], end[i : i + UNPACKED])]
+        part = [hashed(of[a:b], SEED) for a, b in zip(begin[i : i + UNPACKED].tolist(), end[i : i + UNPACKED].tolist())]
         bits = np.unpackbits(np.array(part, "<u8").view(np.uint8), bitorder="little")
         counts += bits.reshape(-1, 64).sum(0, dtype=np.int64)
     return int(np.packbits(2 * counts > len(begin), bitorder="little").view("<u8")[0])
@@ -80,7 +82,7 @@ def fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for ids, group in texts(batches):
+        for ids, group in texts(batches, RUN_CHARS):
             fps = np.array([simhash(t, k) for t in group], np.uint64)
             columns = [pa.array(ids, pa.int64()), pa.array(fps.view(np.int64)), pa.array(visits(fps, 0)[1])]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "home"])
@@ -146,8 +148,8 @@ def _visitor(threshold: int):
 
         for rb in batches:
             every = rb.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for i in range(0, len(every), 10_000):
-                fps = every[i : i + 10_000]
+            for i in range(0, len(every), VISITORS):
+                fps = every[i : i + VISITORS]
                 place, anchor, home = visits(fps, threshold)
                 kind = np.where(home, AT_HOME, VISITING).astype(np.int8)
                 yield pa.RecordBatch.from_arrays(
