@@ -877,25 +877,22 @@ def q_predict_position(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Collection as a stream: the same records through Structured Streaming
 # ---------------------------------------------------------------------------
+from pitwall.operators.race import LAP_PARTITION  # noqa: E402
 from pitwall.streaming.collect import LANDED_LAP_SCHEMA, start_collection  # noqa: E402
 
 
 @register("collect_stream", LAP_RECORDS_SQL)
 def q_collect_stream(spark, sf_dir):
-    """Race sessions are landed as Parquet files (one folder per season),
-    picked up by the streaming collector (availableNow trigger) and appended
-    to a partitioned records table, which is returned."""
+    """Race sessions are landed as Parquet files, each driver's last lap marked, picked
+    up by the streaming collector (availableNow trigger) and appended to a
+    partitioned records table, which is returned. Files cut sessions anywhere."""
     import uuid
 
-    laps = laps_of(spark, sf_dir)
+    laps = laps_of(spark, sf_dir).filter(F.col("session_type").isin(CL.SESSION_TYPES))
+    ends = laps.groupBy(*LAP_PARTITION).agg(F.max("lap_number").alias("_last"))
+    marked = laps.join(ends, LAP_PARTITION).withColumn("session_end", F.col("lap_number") == F.col("_last"))
     landed = IO.new_scratch(spark, "landed-sessions")
-    (
-        laps.filter(F.col("session_type").isin(CL.SESSION_TYPES))
-        .select(*[f.name for f in LANDED_LAP_SCHEMA.fields])
-        .repartition("year")
-        .write.mode("overwrite")
-        .parquet(landed)
-    )
+    marked.select(*[f.name for f in LANDED_LAP_SCHEMA.fields]).write.mode("overwrite").parquet(landed)
     sink = IO.new_scratch(spark, "records-sink")
     name = f"collect_{uuid.uuid4().hex[:8]}"
     q = start_collection(spark, landed, FX.weather_view(spark, sf_dir), sink, query_name=name, available_now=True)

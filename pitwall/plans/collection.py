@@ -71,8 +71,7 @@ def session_dim(laps: DataFrame, supplier: DataFrame, nation: DataFrame) -> Data
     and the driver's classified position.
 
     The classified position is an aggregate joined back; driver and team
-    names come from the dimensions through counted-broadcast joins (a
-    shuffle join if a dimension is large).
+    names come from the dimensions by joins that AQE broadcasts when small.
     """
     sess = with_classified_position(laps.filter(F.col("session_type").isin(SESSION_TYPES)))
     drivers = supplier.select(F.col("s_suppkey").alias("driver"), F.col("s_name").alias("driver_name"))
@@ -113,11 +112,16 @@ def lap_records(laps: DataFrame, weather: DataFrame) -> DataFrame:
     (see :func:`with_classified_position`), taken before the accuracy filter
     (results count every lap).
     """
-    sess = with_classified_position(laps.filter(F.col("session_type").isin(SESSION_TYPES)))
+    return classified_records(with_classified_position(laps.filter(F.col("session_type").isin(SESSION_TYPES))), weather)
+
+
+def classified_records(sess: DataFrame, weather: DataFrame, *carried: str) -> DataFrame:
+    """Records of laps that hold their grid_position already; ``carried`` columns of
+    the laps are added."""
     acc = accurate_laps(sess)
     matched = asof_nearest(
         acc.select(*LAP_PARTITION, "team", "lap_number", "lap_time", "grid_position", "position",
-                   "compound", "track_status", "start_time"),
+                   "compound", "track_status", "start_time", *carried),
         weather_samples(weather),
         by=SESSION_KEYS,
         left_time="start_time",
@@ -126,7 +130,7 @@ def lap_records(laps: DataFrame, weather: DataFrame) -> DataFrame:
         bucket_width=WEATHER_BUCKET_SECONDS,
     )
     return matched.select(
-        *[event_label().alias(c) if c == "event_name" else F.col(c) for c in RECORD_COLUMNS]
+        *[event_label().alias(c) if c == "event_name" else F.col(c) for c in RECORD_COLUMNS], *carried
     )
 
 

@@ -1,25 +1,44 @@
 """Incremental collection with Structured Streaming.
 
-Landed lap files (one or more whole sessions per file) are picked up as they
-arrive; each micro-batch runs the same collection plan as the batch job
-(accurate laps, nearest weather sample, classified position) and writes the
-records to a Parquet table partitioned by epoch, year and round. An epoch's
-folder is overwritten, so a batch replayed after a lost commit leaves the same
-rows. Progress lives in the stream checkpoint under the shared checkpoint
-folder, so a restarted query continues where it stopped.
+Landed lap files are picked up as they arrive, however they cut sessions. A stateful
+operator holds each driver-session's laps until the session is complete: the lap
+marked ``session_end`` has come and as many lap numbers as it counts, or no lap has
+come for ``late_after_ms``. Then all its laps leave at once, with the one classified
+position (the last non-NULL position in lap order) that the batch plan would give
+them. Laps that come after that leave with the same position, marked late; so no
+driver-session ever has two. State is keyed by driver-session, so it is bounded by one
+driver's laps and a hot session spreads over its drivers; what a closed one keeps
+(its position) expires after ``forget_after_ms``.
+
+Each micro-batch joins what left the state with the weather log by the batch job's
+as-of join and writes a Parquet table partitioned by epoch, year and round. An
+epoch's folder is overwritten and the state is versioned by epoch, so a batch
+replayed after a lost commit leaves the same rows. Progress lives in the stream
+checkpoint under the shared checkpoint folder, so a restarted query continues where
+it stopped.
 """
 
 from __future__ import annotations
 
+import json
 import os
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from pitwall.plans.collection import lap_records
+from pitwall.operators.race import LAP_PARTITION
+from pitwall.plans.collection import SESSION_TYPES, classified_records
 from pitwall.session import checkpoint_dir
 
+LATE_AFTER_MS = 10 * 60_000
+FORGET_AFTER_MS = 7 * 24 * 3600_000
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
 LANDED_LAP_SCHEMA = T.StructType(
     [
         T.StructField("year", T.IntegerType()),
@@ -36,10 +55,85 @@ LANDED_LAP_SCHEMA = T.StructType(
         T.StructField("is_accurate", T.BooleanType()),
         T.StructField("start_time", T.DoubleType()),
         T.StructField("lap_number", T.IntegerType()),
+        T.StructField("session_end", T.BooleanType()),
     ]
 )
 
 
+#: What leaves the state: the landed laps with their position.
+CLASSIFIED_SCHEMA = T.StructType(
+    [*LANDED_LAP_SCHEMA.fields, T.StructField("grid_position", T.DoubleType()), T.StructField("late", T.BooleanType())]
+)
+_KEPT = T.StructType([f for f in LANDED_LAP_SCHEMA.fields if f.name not in LAP_PARTITION])
+
+
+def is_complete(laps: pd.DataFrame) -> bool:
+    """Whether the marked last lap and as many lap numbers as it counts are there."""
+    ends = laps.loc[laps["session_end"] == True, "lap_number"].dropna()  # noqa: E712  NULL is no end
+    return bool(len(ends)) and laps["lap_number"].dropna().nunique() >= ends.max()
+
+
+def classified(laps: pd.DataFrame) -> float | None:
+    """The last position in lap order; NULL positions and unnumbered laps do not count."""
+    placed = laps.dropna(subset=["position", "lap_number"])
+    return None if placed.empty else float(placed.loc[placed["lap_number"].astype(int).idxmax(), "position"])
+
+
+def _plain(laps: pd.DataFrame) -> list[list]:
+    """Rows in the types of the schema, as JSON keeps them; a missing value is None."""
+    kinds = [{T.StringType: str, T.DoubleType: float, T.BooleanType: bool}.get(type(f.dataType), int) for f in _KEPT.fields]
+    rows = laps[_KEPT.fieldNames()].itertuples(index=False, name=None)
+    return [[None if pd.isna(v) else kind(v) for v, kind in zip(row, kinds)] for row in rows]
+
+
+def _leaving(key: tuple, laps: pd.DataFrame, grid: float | None, late: bool) -> pd.DataFrame:
+    whole = laps.assign(**dict(zip(LAP_PARTITION, key)), grid_position=grid, late=late)[CLASSIFIED_SCHEMA.fieldNames()]
+    kinds = {T.IntegerType: "Int32", T.LongType: "Int64", T.DoubleType: "float64", T.BooleanType: "boolean"}
+    return whole.astype({f.name: kinds[type(f.dataType)] for f in CLASSIFIED_SCHEMA.fields if type(f.dataType) in kinds})
+
+
+def _driver_session(late_after_ms: int, forget_after_ms: int):
+    """Holds the laps of one driver-session until it is complete. State: the laps so
+    far as JSON rows, whether it is closed, and its position."""
+
+    def step(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held, closed, grid = state.get if state.exists else ("[]", False, None)
+        if state.hasTimedOut and closed:
+            state.remove()
+            return
+        if closed:
+            yield _leaving(key, pd.concat(list(rows)), grid, True)
+            state.setTimeoutDuration(forget_after_ms)
+            return
+        new = [] if state.hasTimedOut else _plain(pd.concat(list(rows)))
+        laps = pd.DataFrame(json.loads(held) + new, columns=_KEPT.fieldNames(), dtype=object)
+        laps = laps.drop_duplicates(ignore_index=True)  # a file that landed twice
+        if state.hasTimedOut or is_complete(laps):
+            grid = classified(laps)
+            state.update(("[]", True, grid))
+            state.setTimeoutDuration(forget_after_ms)
+            yield _leaving(key, laps, grid, False)
+        else:
+            state.update((json.dumps(laps.values.tolist()), False, None))
+            state.setTimeoutDuration(late_after_ms)
+
+    return step
+
+
+def classified_stream(laps: DataFrame, late_after_ms: int = LATE_AFTER_MS, forget_after_ms: int = FORGET_AFTER_MS) -> DataFrame:
+    """Streamed landed laps -> laps of complete driver-sessions with grid_position and late."""
+    keyed = laps
+    for k in LAP_PARTITION:
+        keyed = keyed.filter(F.col(k).isNotNull())
+    return keyed.groupBy(*LAP_PARTITION).applyInPandasWithState(
+        _driver_session(late_after_ms, forget_after_ms),
+        CLASSIFIED_SCHEMA,
+        "laps string, closed boolean, grid_position double",
+        "append",
+        GroupStateTimeout.ProcessingTimeTimeout,
+    )
+
+
 def start_collection(
     spark: SparkSession,
     landed_dir: str,
@@ -48,33 +142,42 @@ def start_collection(
     query_name: str = "lap_collection",
     files_per_trigger: int = 64,
     available_now: bool = False,
+    late_after_ms: int = LATE_AFTER_MS,
+    forget_after_ms: int = FORGET_AFTER_MS,
 ) -> StreamingQuery:
     """Start the incremental collector.
 
     ``weather`` is a static DataFrame (the weather log); every micro-batch is
     joined to it with the bucketed as-of join. ``available_now`` processes
-    what has landed and stops (batch-style backfill with the same code path).
+    what has landed and stops (batch-style backfill with the same code path); sessions
+    that are not complete by then stay in the state for the next run.
     """
     laps = (
         spark.readStream.schema(LANDED_LAP_SCHEMA)
         .option("maxFilesPerTrigger", files_per_trigger)
         .parquet(landed_dir)
+        .filter(F.col("session_type").isin(SESSION_TYPES))
     )
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         # one folder per epoch, overwritten: a replayed batch leaves the same rows
         batch.persist()
         try:
-            records = lap_records(batch, weather)
+            records = classified_records(batch, weather, "late")
             records.write.mode("overwrite").partitionBy("year", "round").parquet(f"{sink_dir}/epoch={epoch_id}")
         finally:
             batch.unpersist()
 
     ckpt = os.path.join(checkpoint_dir(spark), "streams", query_name)
-    writer = laps.writeStream.queryName(query_name).option("checkpointLocation", ckpt).foreachBatch(
-        write_batch
-    )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-        processingTime="30 seconds"
-    )
-    return writer.start()
+    ready = classified_stream(laps, late_after_ms, forget_after_ms)
+    writer = ready.writeStream.queryName(query_name).option("checkpointLocation", ckpt).foreachBatch(write_batch)
+    writer = writer.outputMode("append")
+    if not available_now:
+        return writer.trigger(processingTime="30 seconds").start()
+    # waits that end without new data would keep such a run alive for ever
+    idle = spark.conf.get(NO_DATA_BATCHES)
+    spark.conf.set(NO_DATA_BATCHES, "false")
+    try:
+        return writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(NO_DATA_BATCHES, idle)
