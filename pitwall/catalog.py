@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 
 from pitwall.functions import seconds_sql, text_to_seconds
 from pitwall.operators import quali as Q
+from pitwall.operators import race_measures as RM
 from pitwall.operators.clean import sparse_report
+from pitwall.operators.race import compound_values, race_laps
 from pitwall.operators.season import season_trends
 from pitwall.plans import features as FP
 from pitwall.sources import fixtures as FX
@@ -242,7 +244,7 @@ def _race_sql(cols: str, doubles: list[str]) -> str:
 
 @register("finish_flag", _race_sql("finish_flag", []))
 def q_finish_flag(spark, sf_dir):
-    return _race(spark, sf_dir).select("year", "round", "driver", "team", "finish_flag")
+    return RM.finish_flag(laps_of(spark, sf_dir))
 
 
 @register("stint_features", _race_sql("num_stops, avg_stint_len", ["avg_stint_len"]))
@@ -257,24 +259,22 @@ def q_stint_features(spark, sf_dir):
     _race_sql("start_grid_race, final_position", ["start_grid_race", "final_position"]),
 )
 def q_first_last_position(spark, sf_dir):
-    return _race(spark, sf_dir).select(
-        "year", "round", "driver", "team", "start_grid_race", "final_position"
-    )
+    return RM.first_last_position(laps_of(spark, sf_dir))
 
 
 @register("caution_share", _race_sql("pct_caution_laps", ["pct_caution_laps"]))
 def q_caution_share(spark, sf_dir):
-    return _race(spark, sf_dir).select("year", "round", "driver", "team", "pct_caution_laps")
+    return RM.caution_share(FX.lap_view(spark, sf_dir, number=False))
 
 
 @register("rain_share", _race_sql("pct_rain_laps", ["pct_rain_laps"]))
 def q_rain_share(spark, sf_dir):
-    return _race(spark, sf_dir).select("year", "round", "driver", "team", "pct_rain_laps")
+    return RM.rain_share(FX.lap_view(spark, sf_dir, number=False))
 
 
 @register("lap1_position", _race_sql("lap1_position", ["lap1_position"]))
 def q_lap1_position(spark, sf_dir):
-    return _race(spark, sf_dir).select("year", "round", "driver", "team", "lap1_position")
+    return RM.lap1_position(laps_of(spark, sf_dir))
 
 
 _RACE_SUMMARY_D = [
@@ -300,10 +300,8 @@ def q_race_summary(spark, sf_dir):
 
 @register("compound_usage", _race_sql(_PCT_COLS, [f"pct_{c}" for c in FIXTURE_COMPOUNDS]))
 def q_compound_usage(spark, sf_dir):
-    race = _race(spark, sf_dir)
-    return race.select(
-        "year", "round", "driver", "team", *[c for c in race.columns if c.startswith("pct_") and c not in ("pct_caution_laps", "pct_rain_laps")]
-    )
+    laps = laps_of(spark, sf_dir)
+    return RM.compound_usage(laps, compound_values(race_laps(FX.lap_view(spark, sf_dir, number=False))))
 
 
 # ---------------------------------------------------------------------------

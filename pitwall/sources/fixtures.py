@@ -28,8 +28,9 @@ def _days_into_quarter(ts) -> F.Column:
     return F.datediff(day, F.trunc(day, "quarter"))
 
 
-def lap_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per lap with lap_number numbered inside each driver-session."""
+def lap_view(spark: SparkSession, sf_dir: str, number: bool = True) -> DataFrame:
+    """One row per lap with lap_number numbered inside each driver-session (without
+    it, and without a shuffle, if not ``number``)."""
     li = read_table(spark, sf_dir, "lineitem")
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     ln = F.col("l_linenumber")
@@ -75,6 +76,8 @@ def lap_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("rf"),
         F.col("l_linestatus").alias("ls"),
     )
+    if not number:
+        return base.drop(*_ORDER_HELPERS)
     # row_number per driver-session; a session holding more laps than one
     # task should window is numbered by the distributed path (rank.number_rows)
     numbered = number_rows(
