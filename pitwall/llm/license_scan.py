@@ -15,7 +15,7 @@ whole; memory follows the longest text. Only the id and text columns are read.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, insort
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -112,12 +112,20 @@ class Scanner:
         return (start == 0 or text[start - 1] == " ") and (end >= len(text) or text[end] == " ")
 
     def best(self, found: set) -> list:
-        """Drops fuzzy spans that overlap a better span of the same notice."""
+        """Drops fuzzy spans that overlap a better span of the same notice. Spans are
+        no longer than their notice with its edits, so each looks at its neighbours."""
         out, kept = [], {}
         for s in sorted(found, key=lambda s: (s[3], s[0], s[1])):
-            rivals = kept.setdefault(s[2], [])
-            if s[3] == 0 or all(s[1] <= r[0] or r[1] <= s[0] for r in rivals):
-                rivals.append(s)
+            starts, ends = kept.setdefault(s[2], ([], {}))
+            n = self.notices[s[2]]
+            k, free = bisect_left(starts, s[1]), True
+            while s[3] and free and k and starts[k - 1] > s[0] - len(n.text) - n.edits:
+                k -= 1
+                free = ends[starts[k]] <= s[0]
+            if free:
+                if s[0] not in ends:
+                    insort(starts, s[0])
+                ends[s[0]] = max(s[1], ends.get(s[0], 0))
                 out.append(s)
         return sorted(out)
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -113,10 +114,11 @@ def entropy_spans(s: str, alphabets=ALPHABETS, allowed=ALLOWED) -> list[tuple[in
     found: list[tuple[int, int]] = []
     for a in alphabets:
         for m in re.finditer(a.pattern, s):
-            if m.end() - m.start() < a.window:
+            part = m.group()
+            if len(part) < a.window:
                 continue
-            for b, e in window_spans(m.group(), a.window, a.bits):
-                if not any(p.search(m.group()[b:e]) for p in (allow if e - b <= PLACEHOLDER else whole)):
+            for b, e in window_spans(part, a.window, a.bits):
+                if not any(p.search(part[b:e]) for p in (allow if e - b <= PLACEHOLDER else whole)):
                     found.append((m.start() + b, m.start() + e))
     out: list[tuple[int, int]] = []
     for b, e in sorted(found):
@@ -128,30 +130,49 @@ def entropy_spans(s: str, alphabets=ALPHABETS, allowed=ALLOWED) -> list[tuple[in
 
 
 def scan_text(text: str, alphabets=ALPHABETS, allowed=ALLOWED) -> list[tuple[int, int, int]]:
-    """(start, kind number, end) of every span, sorted."""
-    out = []
+    """(start, kind number, end) of every span, sorted. One pass: a candidate meets
+    only the base spans that reach into it."""
+    assigned = []
     if ":" in text or "=" in text:
         for m in ASSIGN.finditer(text):
             if m.end(2) - m.start(2) >= MIN_ASSIGN:
-                out.append((m.start(), 0, m.end()))
+                assigned.append((m.start(), 0, m.end()))
+    out, near = list(assigned), 0
     for c in CANDIDATE.finditer(text):
         run, at = c.group(), c.start()
+        here = []
         if "AKIA" in run:
-            out += [(at + m.start(), 1, at + m.end()) for m in ACCESS.finditer(run) if m.end() - m.start() >= MIN_ACCESS]
+            here += [(at + m.start(), 1, at + m.end()) for m in ACCESS.finditer(run) if m.end() - m.start() >= MIN_ACCESS]
         if len(run) >= MIN_HEX:
-            out += [(at + m.start(), 2, at + m.end()) for m in HEX.finditer(run) if m.end() - m.start() >= MIN_HEX]
-        base = sorted(out)
-        for b, e in entropy_spans(run, alphabets, allowed):
-            # dropped only if base spans hold all of it
-            covered = at + b
-            for s, _, t in base:
-                if s <= covered < t:
-                    covered = t
-            if covered < at + e:
+            here += [(at + m.start(), 2, at + m.end()) for m in HEX.finditer(run) if m.end() - m.start() >= MIN_HEX]
+        out += here
+        while near < len(assigned) and assigned[near][2] <= at:
+            near += 1
+        k = near
+        while k < len(assigned) and assigned[k][0] < c.end():
+            here.append(assigned[k])
+            k += 1
+        found = entropy_spans(run, alphabets, allowed)
+        base = merged([(s, e) for s, _, e in here]) if found else []
+        starts = [s for s, _ in base]
+        for b, e in found:  # dropped only if base spans hold all of it
+            k = bisect_right(starts, at + b) - 1
+            if k < 0 or base[k][1] < at + e:
                 out.append((at + b, 3, at + e))
     return sorted(out)
 
 
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The union of spans, those that touch joined."""
+    out: list[tuple[int, int]] = []
+    for b, e in sorted(spans):
+        if out and b <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((b, e))
+    return out
+
+
 SPANS = "array<struct<start:int,kind:int,end:int,found:string>>"
 
 
