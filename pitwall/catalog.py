@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pitwall.functions import seconds_sql, text_to_seconds
 from pitwall.operators import quali as Q
 from pitwall.operators import race_measures as RM
+from pitwall.operators import season_state as SS
 from pitwall.operators.clean import sparse_report
 from pitwall.operators.race import compound_values, race_laps
 from pitwall.operators.season import season_trends
@@ -152,6 +153,13 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FP.driver_race_features(laps, sheet=FX.sheet_view(laps))
 
 
+def season_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The season state of all races, written and read back: lookups read no lap."""
+    laps = laps_of(spark, sf_dir)
+    path = SS.write_state(SS.driver_race_state(laps, FX.sheet_view(laps)), IO.new_scratch(spark, "season-state"))
+    return SS.read_state(spark, path)
+
+
 # ---------------------------------------------------------------------------
 # Step 1: views, session filter, time parsing, best quali
 # ---------------------------------------------------------------------------
@@ -596,7 +604,6 @@ def q_feature_scan(spark, sf_dir):
 # ---------------------------------------------------------------------------
 from pitwall.operators import clean as C  # noqa: E402
 from pitwall.operators.rank import rank_final_position, rank_race_time  # noqa: E402
-from pitwall.operators.season import season_lookup  # noqa: E402
 from pitwall.plans import inference as INF  # noqa: E402
 from pitwall.plans import training as TR  # noqa: E402
 
@@ -705,7 +712,7 @@ _LOOKUP_D = ["season_avg_pos_delta", "race_finish_pct", "driver_strength", "team
 
 @register("season_lookup", round_sql(f"with {LOOKUP_CTES} select * from lookup", _LOOKUP_D))
 def q_season_lookup(spark, sf_dir):
-    return season_lookup(feature_table(spark, sf_dir))
+    return SS.season_lookup(season_state(spark, sf_dir))
 
 
 @register(
@@ -737,12 +744,6 @@ def q_regression_metrics(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Step 7 (SQL-checkable part): inference frame and rankings
 # ---------------------------------------------------------------------------
-def _position_meta(features: DataFrame) -> dict:
-    m = TR.training_matrix(features, C.POSITION_TARGET)
-    means = {r.feature: r.mean for r in C.column_means(m, _PRERACE_POS).collect()}
-    return {"feature_names": list(_PRERACE_POS), "feature_means": means}
-
-
 INFERENCE_CTES = f"""{LOOKUP_CTES},
 mu as (select avg(cast(start_grid as double)) as m_start_grid, avg(best_quali_time) as m_best_quali_time,
        avg(season_avg_pos_delta) as m_season_avg_pos_delta, avg(race_finish_pct) as m_race_finish_pct,
@@ -759,9 +760,9 @@ _INF_D = ["sheet_start_grid", *_PRERACE_POS]
 
 
 def _inference(spark, sf_dir) -> DataFrame:
-    laps = laps_of(spark, sf_dir)
-    feats = feature_table(spark, sf_dir)
-    return INF.inference_frame(FX.sheet_view(laps), feats, _position_meta(feats))
+    state, names = season_state(spark, sf_dir), list(_PRERACE_POS)
+    meta = {"feature_names": names, "feature_means": SS.model_means(state, names)}
+    return INF.lookup_frame(FX.sheet_view(laps_of(spark, sf_dir)), SS.season_lookup(state), meta)
 
 
 @register("inference_frame", round_sql(f"with {INFERENCE_CTES} select * from inf", _INF_D))
