@@ -171,13 +171,15 @@ def test_mcd_against_numpy(spark):
     x = rnd.normal([6, 5, 0, 0, 0], [1, 0.3, 0.01, 0.01, 0.01], (400, 5))
     x[:40, 2] += 0.5  # outliers that a plain covariance would absorb
     whole = np.floor(x * quality.SCALE + 0.5).astype(int)
-    df = spark.createDataFrame([("en", "s", *map(int, r)) for r in whole], "lang string, source string, " + ", ".join(f"x{i} bigint" for i in range(5)))
-    fit = [r for r in quality.fit_mcd(df).collect() if '"=s"' in r["_g"]][0]
+    columns = "_rid bigint, lang string, source string, " + ", ".join(f"x{i} bigint" for i in range(5))
+    df = spark.createDataFrame([(k, "en", "s", *map(int, r)) for k, r in enumerate(whole)], columns)
+    # without elemental starts: the steps from the medians, then as many more
+    fit = [r for r in quality.fit_mcd(df, starts=0).collect() if '"=s"' in r["_g"]][0]
     z, n = whole / quality.SCALE, len(whole)
     ridge = np.diag(np.square(quality.FLOORS))
     q = np.array([np.percentile(whole, p, axis=0) for p in (25, 50, 75)])
     mean, cov = q[1] / quality.SCALE, np.diag(((q[2] - q[0]) / 1.349 / quality.SCALE) ** 2) + ridge
-    for _ in range(quality.STEPS):
+    for _ in range(2 * quality.STEPS):
         d = np.einsum("ij,jk,ik->i", z - mean, np.linalg.inv(cov), z - mean)
         bins = np.floor(np.log2(1 + d) * quality.BINS_PER_OCTAVE)
         inner = z[bins <= np.sort(bins)[int(np.ceil(n * quality.H)) - 1]]
