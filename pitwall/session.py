@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -51,9 +52,32 @@ def get_spark(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives this package to the session's Python workers, once per application: their
+    functions are pickled by name, and an executor need not have it installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    top = os.path.dirname(os.path.abspath(__file__))
+    # the driver serves the file to all executors
+    path = os.path.join(tempfile.mkdtemp(prefix="pitwall-package-"), "pitwall.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+
+
 def is_local(master: str) -> bool:
     """Whether driver and executors are one process."""
     return master == "local" or master.startswith("local[")

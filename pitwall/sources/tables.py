@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pitwall.session import ship_package
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -18,4 +20,5 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy Parquet scan; Catalyst pushes filters and prunes columns into it."""
+    ship_package(spark)
     return spark.read.parquet(table_path(sf_dir, name))
