@@ -6,7 +6,7 @@ clustered on), so the stint window and the aggregates need no further
 exchange. Order-dependent work (stint changes) runs in windows over lap
 blocks, so no window partition holds more than one block of a session;
 everything else is a partial aggregate. Race-wide values (race distance)
-are an aggregate joined back with a counted broadcast, never a window over a
+are an aggregate joined back, never a window over a
 whole race.
 """
 
