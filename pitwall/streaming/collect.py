@@ -6,9 +6,10 @@ marked ``session_end`` has come and as many lap numbers as it counts, or no lap
 come for ``late_after_ms``. Then all its laps leave at once, with the one classified
 position (the last non-NULL position in lap order) that the batch plan would give
 them. Laps that come after that leave with the same position, marked late; so no
-driver-session ever has two. State is keyed by driver-session, so it is bounded by one
-driver's laps and a hot session spreads over its drivers; what a closed one keeps
-(its position) expires after ``forget_after_ms``.
+driver-session ever has two. State is keyed by session and bucket of drivers
+(``BUCKETS`` a session), so a hot session spreads over its buckets, and holds each
+driver-session apart; what a closed one keeps (its position) expires after
+``forget_after_ms``.
 
 Each micro-batch joins what left the state with the weather log by the batch job's
 as-of join and writes a Parquet table partitioned by epoch, year and round. An
@@ -60,78 +61,93 @@ LANDED_LAP_SCHEMA = T.StructType(
 )
 
 
-#: What leaves the state: the landed laps with their position.
-CLASSIFIED_SCHEMA = T.StructType(
-    [*LANDED_LAP_SCHEMA.fields, T.StructField("grid_position", T.DoubleType()), T.StructField("late", T.BooleanType())]
-)
+#: Groups a session's drivers are dealt to. A call costs milliseconds whatever it holds, so drivers share groups.
+BUCKETS = 256
+_SESSION = T.StructType([f for f in LANDED_LAP_SCHEMA.fields if f.name in LAP_PARTITION and f.name != "driver"])
 _KEPT = T.StructType([f for f in LANDED_LAP_SCHEMA.fields if f.name not in LAP_PARTITION])
 
+#: What leaves the state: a driver-session's landed laps, each as JSON, with its position.
+LEAVING = "session string, driver bigint, laps array<string>, grid_position double, late boolean"
 
-def is_complete(laps: pd.DataFrame) -> bool:
-    """Whether the marked last lap and as many lap numbers as it counts are there."""
-    ends = laps.loc[laps["session_end"] == True, "lap_number"].dropna()  # noqa: E712  NULL is no end
-    return bool(len(ends)) and laps["lap_number"].dropna().nunique() >= ends.max()
-
-
-def classified(laps: pd.DataFrame) -> float | None:
-    """The last position in lap order; NULL positions and unnumbered laps do not count."""
-    placed = laps.dropna(subset=["position", "lap_number"])
-    return None if placed.empty else float(placed.loc[placed["lap_number"].astype(int).idxmax(), "position"])
 
-
-def _plain(laps: pd.DataFrame) -> list[list]:
-    """Rows in the types of the schema, as JSON keeps them; a missing value is None."""
-    kinds = [{T.StringType: str, T.DoubleType: float, T.BooleanType: bool}.get(type(f.dataType), int) for f in _KEPT.fields]
-    rows = laps[_KEPT.fieldNames()].itertuples(index=False, name=None)
-    return [[None if pd.isna(v) else kind(v) for v, kind in zip(row, kinds)] for row in rows]
+def is_complete(laps: list[dict]) -> bool:
+    """Whether the marked last lap and as many lap numbers as it counts are there."""
+    numbers = {lap["lap_number"] for lap in laps if "lap_number" in lap}
+    ends = [lap["lap_number"] for lap in laps if lap.get("session_end") and "lap_number" in lap]
+    return bool(ends) and len(numbers) >= max(ends)
 
 
-def _leaving(key: tuple, laps: pd.DataFrame, grid: float | None, late: bool) -> pd.DataFrame:
-    whole = laps.assign(**dict(zip(LAP_PARTITION, key)), grid_position=grid, late=late)[CLASSIFIED_SCHEMA.fieldNames()]
-    kinds = {T.IntegerType: "Int32", T.LongType: "Int64", T.DoubleType: "float64", T.BooleanType: "boolean"}
-    return whole.astype({f.name: kinds[type(f.dataType)] for f in CLASSIFIED_SCHEMA.fields if type(f.dataType) in kinds})
+def classified(laps: list[dict]) -> float | None:
+    """The last position in lap order; NULL and NaN positions and unnumbered laps do not count."""
+    placed = [lap for lap in laps if "lap_number" in lap and lap.get("position", "NaN") != "NaN"]
+    return float(max(placed, key=lambda lap: lap["lap_number"])["position"]) if placed else None
 
 
-def _driver_session(late_after_ms: int, forget_after_ms: int):
-    """Holds the laps of one driver-session until it is complete. State: the laps so
-    far as JSON rows, whether it is closed, and its position."""
+def _driver_sessions(late_after_ms: int, forget_after_ms: int):
+    """Holds the laps of a session's drivers of one bucket, each until complete. State: by
+    driver the laps so far (JSON texts), whether it is closed, its position, and when its
+    wait is over. One row a driver-session leaves."""
 
     def step(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held, closed, grid = state.get if state.exists else ("[]", False, None)
-        if state.hasTimedOut and closed:
-            state.remove()
-            return
-        if closed:
-            yield _leaving(key, pd.concat(list(rows)), grid, True)
-            state.setTimeoutDuration(forget_after_ms)
-            return
-        new = [] if state.hasTimedOut else _plain(pd.concat(list(rows)))
-        laps = pd.DataFrame(json.loads(held) + new, columns=_KEPT.fieldNames(), dtype=object)
-        laps = laps.drop_duplicates(ignore_index=True)  # a file that landed twice
-        if state.hasTimedOut or is_complete(laps):
-            grid = classified(laps)
-            state.update(("[]", True, grid))
-            state.setTimeoutDuration(forget_after_ms)
-            yield _leaving(key, laps, grid, False)
+        held = json.loads(state.get[0]) if state.exists else {}
+        now, new, leaving = state.getCurrentProcessingTimeMs(), {}, []
+        for part in () if state.hasTimedOut else rows:
+            for driver, lap in zip(part["driver"].tolist(), part["lap"].tolist()):
+                new.setdefault(str(driver), []).append(lap)
+        for driver, come in new.items():
+            laps, closed, grid, _ = held.get(driver, ([], False, None, 0))
+            if closed:
+                leaving.append((driver, come, grid, True))
+                held[driver] = [], True, grid, now + forget_after_ms
+                continue
+            laps = list(dict.fromkeys(laps + come))  # a file may land twice
+            read = [json.loads(lap) for lap in laps]
+            if is_complete(read):
+                leaving.append((driver, laps, classified(read), False))
+                held[driver] = [], True, leaving[-1][2], now + forget_after_ms
+            else:
+                held[driver] = laps, False, None, now + late_after_ms
+        for driver in [d for d, (_, _, _, due) in held.items() if due <= now and d not in new]:
+            laps, closed, _, _ = held.pop(driver)
+            if not closed:
+                leaving.append((driver, laps, classified([json.loads(lap) for lap in laps]), False))
+                held[driver] = [], True, leaving[-1][2], now + forget_after_ms
+        if held:
+            state.update((json.dumps(held),))
+            state.setTimeoutDuration(max(1, min(due for _, _, _, due in held.values()) - now))
         else:
-            state.update((json.dumps(laps.values.tolist()), False, None))
-            state.setTimeoutDuration(late_after_ms)
+            state.remove()
+        if leaving:
+            drivers, laps, grids, late = zip(*leaving)
+            grids = [float("nan") if g is None else g for g in grids]
+            yield pd.DataFrame(
+                {"session": key[0], "driver": list(map(int, drivers)), "laps": list(laps), "grid_position": grids, "late": list(late)}
+            )
 
     return step
 
 
 def classified_stream(laps: DataFrame, late_after_ms: int = LATE_AFTER_MS, forget_after_ms: int = FORGET_AFTER_MS) -> DataFrame:
-    """Streamed landed laps -> laps of complete driver-sessions with grid_position and late."""
+    """Streamed landed laps -> laps of complete driver-sessions with grid_position and late.
+    A lap passes through the state as one JSON text; its columns are read outside."""
     keyed = laps
     for k in LAP_PARTITION:
         keyed = keyed.filter(F.col(k).isNotNull())
-    return keyed.groupBy(*LAP_PARTITION).applyInPandasWithState(
-        _driver_session(late_after_ms, forget_after_ms),
-        CLASSIFIED_SCHEMA,
-        "laps string, closed boolean, grid_position double",
+    session = F.to_json(F.struct(*_SESSION.names)).alias("session")
+    bucket = F.pmod(F.hash("driver"), F.lit(BUCKETS)).alias("bucket")
+    texts = keyed.select(session, bucket, "driver", F.to_json(F.struct(*_KEPT.names)).alias("lap"))
+    left = texts.groupBy("session", "bucket").applyInPandasWithState(
+        _driver_sessions(late_after_ms, forget_after_ms),
+        LEAVING,
+        "held string",
         "append",
         GroupStateTimeout.ProcessingTimeTimeout,
     )
+    left = left.select(F.from_json("session", _SESSION).alias("_session"), "driver", F.explode("laps").alias("_lap"), "grid_position", "late")
+    left = left.withColumn("_lap", F.from_json("_lap", _KEPT))
+    place = {"driver": F.col("driver"), **{c: F.col("_session")[c] for c in _SESSION.names}, **{c: F.col("_lap")[c] for c in _KEPT.names}}
+    whole = [place[c].alias(c) for c in LANDED_LAP_SCHEMA.names]
+    return left.select(*whole, F.nanvl("grid_position", F.lit(None)).alias("grid_position"), "late")
 
 
 def start_collection(

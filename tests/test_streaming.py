@@ -105,3 +105,21 @@ def test_a_file_that_lands_twice_counts_once(spark, sf_small, race):
     got = c.run().filter("not late")
     assert same(got.filter("lap_number > 1"), lap_records(some, weather).filter("lap_number > 1"))
     assert got.groupBy(*KEYS, "lap_number").count().filter("count > 1").isEmpty()
+
+
+def test_drivers_share_a_group_of_the_state(spark, sf_small, race, monkeypatch):
+    """One bucket a session: fewer calls than driver-sessions, each of which still closes by itself."""
+    from pitwall.streaming import collect
+
+    monkeypatch.setattr(collect, "BUCKETS", 1)
+    weather = FX.weather_view(spark, sf_small)
+    c = Collector(spark, weather)
+    held = race.filter("driver % 2 = 0 and lap_number = 1").cache()
+    land(race.exceptAll(held), c.landed)
+    got = c.run()
+    waiting = [tuple(r) for r in held.select(KEYS).collect()]
+    assert waiting and not {tuple(r) for r in got.select(KEYS).distinct().collect()} & set(waiting)
+    land(held, c.landed)
+    assert same(c.run(), lap_records(race, weather))
+    kept = spark.read.format("statestore").load(os.path.join(checkpoint_dir(spark), "streams", c.name))
+    assert kept.count() == race.select(KEYS[:3]).distinct().count()  # not one a driver
