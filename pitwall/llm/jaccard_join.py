@@ -22,14 +22,16 @@ edited copies), components are formed, and then all candidate pairs whose docume
 components are verified. So every link between different components is tested
 and the components are exact.
 
-For that last step prefixes are lengthened by what their lists cost: l is a
-twentieth of the set, at least ``MOST``. A list is heavy if it holds ``HEAVY`` or more
-components, however large the corpus. A document with fewer than l heavy shingles
-among its n - ceil(t n) + l needs none of them: of the l shared ones at least l less
-those is in a light list, and that many light matches are required (of the pair, the
-document with the lesser l decides). Pairs are made in heavy lists only where that
-document has l heavy shingles or more. So passages that ever more documents
-share make no pairs of their own; the rows follow the light lists.
+For that last step l is a twentieth of the set, at least ``MOST``. Of two documents
+the one with the lesser l (then ``_rid``) looks for the other: of its l shared
+shingles at least one is left when it leaves out its l - 1 longest lists (those of
+the most components), so it looks only in the rest. So passages that ever more
+documents share make no pairs of their own. A pair is made where its documents first
+meet, not once for each shingle they share: in a list it is left out if one of the
+last ``BEFORE`` shingles that the one document looked for is among the last ones of the
+other, as an earlier list has made it then. The rows follow the pairs, and
+the shared shingles of each are counted in the two prefixes themselves. A document
+with fewer lists left than the least l of any that its size can link with takes no part.
 
 Before pairs are made, a bitmap filter drops the ones that cannot link: each set has ``64 * WORDS`` parity bits (a
 shingle flips one), and two bitmaps never differ in more bits than the sets
@@ -57,7 +59,7 @@ PERCENT = 80
 FREQUENT = 8000
 MOST = 4  # the longest prefix extension considered against pivots
 SPARE = 20  # one shingle in so many lengthens the prefix of the last step
-HEAVY = 8  # components in a list that is left out where the prefix allows
+BEFORE = 6  # shingles before one in which an earlier meeting of a pair is looked for
 STARS = 3
 RUN_CHARS = 1_500_000
 #: Shingles counted together, and the count from which a split reports one.
@@ -263,28 +265,37 @@ def _apart(tokens: DataFrame, roots: DataFrame, classes: DataFrame, percent: int
     rooted = save(_rooted(tokens, roots), "rooted")
     # components in a list are counted from one row per (list, component)
     lists = rooted.select("token", "root").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    left = rooted.join(lists.select("token", (F.col("parts") >= HEAVY).alias("heavy")), "token")
+
+    def length(n: str) -> str:  # of a set's n - need + l places, at most n
+        return f"least(({n} * {percent} + 99) div 100, greatest({MOST}, {n} div {SPARE}))"
+
+    own = Window.partitionBy("_rid")
+    longest = F.row_number().over(own.orderBy(F.desc("parts"), "token"))
+    left = rooted.join(lists, "token").withColumn("l", F.expr(length("n"))).withColumn("looks", longest >= F.col("l"))
+    # a set that links has at least need shingles: one that has not even its l in these lists links with none
+    enough = F.count(F.lit(1)).over(own) >= F.expr(length(f"(n * {percent} + 99) div 100"))
+    left = left.withColumn("enough", enough).where("enough").select("token", "_rid", "n", "root", "l", "looks")
     left = save(left, "apart")
-    need = f"((n * {percent} + 99) div 100)"
-    length = f"least({need}, greatest({MOST}, n div {SPARE}))"  # of n - need + l places, at most n
-    docs = left.groupBy("_rid").agg(F.first("n").alias("n"), F.first("root").alias("root"), F.sum(F.col("heavy").cast("int")).alias("f"))
-    docs = docs.select("_rid", "n", "root", F.expr(length).alias("l"), "f").join(classes, "_rid")
-    docs = save(docs.withColumn("lack", F.col("f") >= F.col("l")), "prefix-costs")
-    at = left.select("token", "_rid", "heavy").join(docs, "_rid")
-    a = at.select("token", "heavy", F.col("_rid").alias("u"), "n", "l", "f", "lack", F.col("root").alias("ru"), *PARITY)
+    before = own.orderBy("token").rowsBetween(-BEFORE, -1)
+    a = left.withColumn("sought", F.collect_list(F.when(F.col("looks"), F.col("token"))).over(before)).where("looks")
+    a = a.join(classes, "_rid").select("token", F.col("_rid").alias("u"), "n", "l", F.col("root").alias("ru"), "sought", *PARITY)
     other = [F.col(p).alias(f"q{p}") for p in PARITY]
-    b = at.select("token", F.col("_rid").alias("v"), F.col("n").alias("pn"), F.col("l").alias("pl"), F.col("f").alias("pf"),
-                  F.col("lack").alias("plack"), F.col("root").alias("rv"), *other)
+    b = left.withColumn("had", F.collect_list("token").over(before)).join(classes, "_rid")
+    b = b.select("token", F.col("_rid").alias("v"), F.col("n").alias("pn"), F.col("l").alias("pl"), F.col("root").alias("rv"), "had", *other)
     near = f"100 * least(n, pn) >= {percent} * greatest(n, pn)"
     differ = " + ".join(f"bit_count({p} ^ q{p})" for p in PARITY)
     alike = f"({differ}) * {100 + percent} <= (n + pn) * {100 - percent}"
-    lacking = "if(l < pl, lack, if(pl < l, plack, lack and plack))"
-    matched = a.join(b, "token").where(f"u < v and ru <> rv and {near} and {alike} and (not heavy or {lacking})")
-    light = "if(l < pl, l - f, if(pl < l, pl - pf, l - least(f, pf)))"
-    least = F.expr(f"if({lacking}, least(l, pl), {light})").alias("least")
-    pairs = matched.groupBy("u", "v", least).count().where("count >= least").select("u", "v")
+    first = "(l < pl or (l = pl and u < v)) and ru <> rv"
+    matched = a.join(b, "token").where(f"{first} and {near} and {alike} and not arrays_overlap(sought, had)")
+    met = save(matched.select("u", "v", "l").distinct(), "met")
+    # the shared shingles of a pair of different components are all in left
+    ends = met.select(F.col("u").alias("_rid")).unionAll(met.select(F.col("v").alias("_rid"))).distinct()
+    prefixes = left.join(ends, "_rid", "left_semi").groupBy("_rid").agg(F.collect_list("token").alias("prefix"))
+    one = prefixes.select(F.col("_rid").alias("u"), F.col("prefix").alias("prefix_u"))
+    two = prefixes.select(F.col("_rid").alias("v"), F.col("prefix").alias("prefix_v"))
+    pairs = met.join(one, "u").join(two, "v").where("size(array_intersect(prefix_u, prefix_v)) >= l").select("u", "v")
     pairs = save(pairs, "pairs")
-    drop(rooted, left, docs)
+    drop(rooted, left, met)
     return pairs
 
 
@@ -317,12 +328,11 @@ def links(source: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFr
     drop(found)
     postings = _adaptive(tokens, percent)
     near = f"100 * least(n, pn) >= {percent} * greatest(n, pn)"
-    texts_of = source.select("_rid", F.coalesce("text", F.lit("")).alias("text"))
-    needed_rows = save(texts_of.join(tokens.select("_rid").distinct(), "_rid", "left_semi"), "texts")
+    texts = source.select("_rid", F.coalesce("text", F.lit("")).alias("text"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        one = needed_rows.select(F.col("_rid").alias("u"), F.col("text").alias("text_u"))
-        two = needed_rows.select(F.col("_rid").alias("v"), F.col("text").alias("text_v"))
+        one = texts.select(F.col("_rid").alias("u"), F.col("text").alias("text_u"))
+        two = texts.select(F.col("_rid").alias("v"), F.col("text").alias("text_v"))
         full = pairs.select("u", "v").join(one, "u").join(two, "v").sortWithinPartitions("v")
         return full.mapInArrow(_verifier(k, percent), "u bigint, v bigint")
 
@@ -352,7 +362,7 @@ def links(source: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFr
     pairs = _apart(tokens, roots, classes, percent)
     drop(tokens)
     roots = joined(pairs, roots)
-    drop(pairs, needed_rows, classes)
+    drop(pairs, classes)
     return profile, roots
 
 

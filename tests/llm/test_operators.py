@@ -464,3 +464,54 @@ def test_stages_drop_their_own_rows_when_scans_are_split_anew(spark, split_anew)
         for _ in range(2):
             split_anew.other()
             assert {r.doc_id for r in out.select("doc_id").collect()} == wanted[name], name
+
+
+def joined_rows(df):
+    """Runs ``df`` and adds up the rows that the joins on shared shingles made."""
+    df.collect()
+
+    def below(plan):
+        kind = plan.nodeName()
+        if kind == "AdaptiveSparkPlan":
+            return below(plan.executedPlan())
+        if "QueryStage" in kind:
+            return below(plan.plan())
+        made = 0
+        if "Join" in kind and re.search(r"Join(\(.*?\))? \[token#", plan.simpleString(200)) and "u#" in plan.simpleString(2000):
+            made = plan.metrics().get("numOutputRows").get().value()
+        return made + sum(below(plan.children().apply(i)) for i in range(plan.children().size()))
+
+    return below(df._jdf.queryExecution().executedPlan())
+
+
+def test_similar_documents_that_do_not_link_meet_a_few_times_each(spark, monkeypatch):
+    rnd = random.Random(11)
+    texts = []
+    for family in range(3):
+        base = [f"w{family}x{rnd.randint(0, 9999)}" for _ in range(1200)]
+        for copy in range(24):  # with 12 and 13 edits they link, with more most do not
+            w = list(base)
+            for at in rnd.sample(range(10, 1190, 6), 12 + 2 * (copy % 4)):
+                w[at] = f"e{family}x{copy}x{at}"
+            texts.append(" ".join(w))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    made, save = [], jaccard_join.save
+
+    def watched(df, name):
+        if name in ("met", "pairs"):
+            made.append(joined_rows(df))
+        return save(df, name)
+
+    monkeypatch.setattr(jaccard_join, "save", watched)
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(docs).collect()}
+    sets = [set(zip(*[t.split()[k:] for k in range(5)])) for t in texts]
+    root = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a + 1, len(sets)):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((root[a], root[b]))
+                root = [x if r == y else r for r in root]
+    apart = sum(root[a] != root[b] and a // 24 == b // 24 for a in range(len(sets)) for b in range(a))
+    assert [got[i] for i in range(len(sets))] == root
+    assert apart > 300 and 0 < sum(made) < 10 * apart, (made, apart)
