@@ -37,6 +37,11 @@ Before pairs are made, a bitmap filter drops the ones that cannot link: each set
 shingle flips one), and two bitmaps never differ in more bits than the sets
 differ in shingles.
 
+A verification moves only the texts that stand in its pairs: a bit for each row, in words
+of 64 neighbours, goes to the tasks that read the stored texts. At most ``MARKS`` words
+are sent; in larger tables several words share one, and a text that no pair needs may be
+moved, too, but none that a pair needs is left out.
+
 Defined results: null and empty texts have no shingles and stay alone; texts
 of fewer than ``k`` words have one shingle; repeated rows are one class. An
 empty table gives no rows. Only doc_id and text are read. Shingles are compared
@@ -69,6 +74,10 @@ WORDS = 8
 PARITY = [f"p{i}" for i in range(WORDS)]
 #: Cost of verifying a candidate against that of reading a posting.
 VERIFY = 20
+#: A frequent shingle is spread over so many salts.
+SPREAD = 1009
+#: Words of 64 bits, at most, that tell which texts a verification reads.
+MARKS = 1 << 20
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -178,7 +187,8 @@ def _profile(k: int):
 
 def _prefixes(k: int, percent: int, shingles: np.ndarray, dfs: np.ndarray):
     """mapInArrow body: the longest prefix of each set (of equal sets, those whose
-    _rid is the least read so far), with the place of each shingle in it."""
+    _rid is the least read so far), with the place of each shingle in it and, for a
+    frequent one, a salt (else -1)."""
 
     def run(batches):
         import pyarrow as pa
@@ -186,7 +196,7 @@ def _prefixes(k: int, percent: int, shingles: np.ndarray, dfs: np.ndarray):
         hasher, seen, held = Hasher(), {}, 0
         with np.errstate(over="ignore"):
             for rids, _, group in _rows(batches):
-                cols = [[], [], [], [], []]
+                cols = [[], [], [], []]
                 for rid, s in zip(rids, shingle_sets(group, hasher, k)):
                     n = len(s)
                     key = s.tobytes() if n < 8 else (n, int(s[0]), int(s[-1]), int(s.sum()))
@@ -199,17 +209,18 @@ def _prefixes(k: int, percent: int, shingles: np.ndarray, dfs: np.ndarray):
                     if df.any():
                         s = s[np.argsort(df, kind="stable")]
                         df = np.sort(df)
-                    for c, v in zip(cols, (s[:m], np.full(m, rid), np.full(m, n), np.arange(m), df[:m] > 0)):
+                    spread = np.where(df[:m] > 0, rid % SPREAD, -1)
+                    for c, v in zip(cols, (s[:m], np.full(m, rid), np.arange(m), spread)):
                         c.append(v)
                     held += 1
                 if held > 100_000:
                     seen, held = {}, 0
                 if cols[0]:
-                    token, rid, n, place, hot = (np.concatenate(c) for c in cols)
+                    token, rid, place, salt = (np.concatenate(c) for c in cols)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(token.view(np.int64)), pa.array(rid.astype(np.int64)), pa.array(n.astype(np.int32)),
-                         pa.array(place.astype(np.int32)), pa.array(hot)],
-                        names=["token", "_rid", "n", "place", "hot"],
+                        [pa.array(token.view(np.int64)), pa.array(rid.astype(np.int64)), pa.array(place.astype(np.int32)),
+                         pa.array(salt.astype(np.int32))],
+                        names=["token", "_rid", "place", "salt"],
                     )
 
     return run
@@ -299,6 +310,15 @@ def _apart(tokens: DataFrame, roots: DataFrame, classes: DataFrame, percent: int
     return pairs
 
 
+def _needed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of ``texts`` (_rid, text) that stand in the stored ``pairs`` (u, v), and few others."""
+    word = F.pmod(F.xxhash64(F.shiftright("_rid", 6)), F.lit(MARKS)).alias("_word")
+    ends = pairs.select(F.col("u").alias("_rid")).unionAll(pairs.select("v"))
+    marks = ends.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(_rid % 64 as int))")).alias("_marks"))
+    marked = texts.select("*", word).join(F.broadcast(marks), "_word")
+    return marked.where("getbit(_marks, cast(_rid % 64 as int)) = 1").select(*texts.columns)
+
+
 def links(source: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(profile, roots) of stored rows (_rid, doc_id, text). profile: _rid, doc_id, n, digest of each row; roots:
     (u, root) of class representatives that are not the least of their
@@ -314,32 +334,34 @@ def links(source: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFr
     order = np.argsort(shingles)
     body = _prefixes(k, percent, shingles[order], often["df"].to_numpy(np.int64)[order])
     parity = [F.first(p).alias(p) for p in PARITY]  # equal sets have equal ones
-    classes = save(profile.where("n > 0").groupBy("digest").agg(F.min("_rid").alias("_rid"), *parity).drop("digest"), "classes")
+    size = F.first("n").cast("int").alias("n")
+    classes = profile.where("n > 0").groupBy("digest").agg(F.min("_rid").alias("_rid"), size, *parity).drop("digest")
+    classes = save(classes, "classes")
     profile = profile.drop(*PARITY)
     # shingles of one document only are dropped before anything else is joined; a
     # frequent one is known to be shared and is spread over many tasks
-    tokens = source.mapInArrow(body, "token bigint, _rid bigint, n int, place int, hot boolean")
-    salt = F.when(F.col("hot"), F.pmod("_rid", F.lit(1009))).otherwise(-1)
-    together = Window.partitionBy("token", "_salt")
-    shared = tokens.withColumn("_salt", salt).withColumn("_c", F.count(F.lit(1)).over(together))
-    shared = shared.where("hot or _c > 1").drop("_c", "_salt", "hot")
+    tokens = source.mapInArrow(body, "token bigint, _rid bigint, place int, salt int")
+    together = Window.partitionBy("token", "salt")
+    shared = tokens.withColumn("_c", F.count(F.lit(1)).over(together)).where("salt >= 0 or _c > 1").drop("_c", "salt")
     found = save(shared, "shared")
-    tokens = save(found.join(classes.select("_rid"), "_rid", "left_semi"), "tokens")
+    tokens = save(found.join(classes.select("_rid", "n"), "_rid"), "tokens")
     drop(found)
     postings = _adaptive(tokens, percent)
     near = f"100 * least(n, pn) >= {percent} * greatest(n, pn)"
     texts = source.select("_rid", F.coalesce("text", F.lit("")).alias("text"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        one = texts.select(F.col("_rid").alias("u"), F.col("text").alias("text_u"))
-        two = texts.select(F.col("_rid").alias("v"), F.col("text").alias("text_v"))
+        read = _needed(texts, pairs)
+        one = read.select(F.col("_rid").alias("u"), F.col("text").alias("text_u"))
+        two = read.select(F.col("_rid").alias("v"), F.col("text").alias("text_v"))
         full = pairs.select("u", "v").join(one, "u").join(two, "v").sortWithinPartitions("v")
         return full.mapInArrow(_verifier(k, percent), "u bigint, v bigint")
 
     def joined(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
-        """Components of the links of ``pairs`` and of the stars known so far."""
+        """Components of the links of the stored ``pairs`` and of the stars known so far."""
         found = verified(pairs)
         edges = save(found if roots is None else found.unionAll(roots.select("u", F.col("root").alias("v"))), "links")
+        drop(pairs)
         out = components(edges)
         drop(edges)
         return out
@@ -348,21 +370,19 @@ def links(source: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFr
     for star in range(STARS):
         here = postings if roots is None else _rooted(postings, roots)
         first, hashed = (F.lit(0.0) if star else -F.col("score")), F.xxhash64("_rid", F.lit(star))
-        pivot = here.groupBy("token").agg(
-            F.min(F.struct(first.alias("o"), hashed.alias("h"), F.col("_rid").alias("v"), F.col("n").alias("pn"))).alias("p"),
-            *([F.min("root").alias("_lo"), F.max("root").alias("_hi")] if roots is not None else []),
-        )
-        if roots is not None:
-            pivot = pivot.where("_lo <> _hi")
-        pairs = here.join(pivot, "token").select(F.col("_rid").alias("u"), "n", "p.v", "p.pn", "l").where("u <> v and " + near)
-        pairs = pairs.groupBy("u", "v", "l").count().where("count >= l")
-        roots = joined(pairs, roots)
+        root = "_rid" if roots is None else "root"
+        named = F.struct(first.alias("o"), hashed.alias("h"), F.col("_rid").alias("v"), F.col("n").alias("pn"), F.col(root).alias("pr"))
+        pivot = here.groupBy("token").agg(F.min(named).alias("p"), F.min(root).alias("_lo"), F.max(root).alias("_hi"))
+        pairs = here.join(pivot.where("_lo <> _hi"), "token").where(f"{root} <> p.pr")
+        pairs = pairs.select(F.col("_rid").alias("u"), "n", "p.v", "p.pn", "l").where(near)
+        pairs = pairs.groupBy("u", "v", "l").count().where("count >= l").select("u", "v")
+        roots = joined(save(pairs, "star"), roots)
     drop(postings)
     # every candidate pair that is still apart
-    pairs = _apart(tokens, roots, classes, percent)
+    pairs = _apart(tokens, roots, classes.drop("n"), percent)
     drop(tokens)
     roots = joined(pairs, roots)
-    drop(pairs, classes)
+    drop(classes)
     return profile, roots
 
 

@@ -515,3 +515,49 @@ def test_similar_documents_that_do_not_link_meet_a_few_times_each(spark, monkeyp
     apart = sum(root[a] != root[b] and a // 24 == b // 24 for a in range(len(sets)) for b in range(a))
     assert [got[i] for i in range(len(sets))] == root
     assert apart > 300 and 0 < sum(made) < 10 * apart, (made, apart)
+
+
+def moved_texts(df):
+    """Runs ``df`` and adds up the stored texts that its shuffles moved."""
+    df.collect()
+
+    def below(plan):
+        kind = plan.nodeName()
+        if kind == "AdaptiveSparkPlan":
+            return below(plan.executedPlan())
+        if "QueryStage" in kind:
+            return below(plan.plan())
+        moved = 0
+        if kind == "Exchange" and re.fullmatch(r"[uv]#\d+L text_[uv]#\d+", plan.output().mkString(" ")):
+            moved = plan.metrics().get("shuffleRecordsWritten").get().value()
+        return moved + sum(below(plan.children().apply(i)) for i in range(plan.children().size()))
+
+    return below(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.mark.parametrize("marks", [1 << 20, 4])
+def test_only_texts_of_candidate_pairs_are_moved(spark, monkeypatch, marks):
+    rnd = random.Random(12)
+    texts = [" ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(60)) for _ in range(1500)]
+    for i in range(0, 1500, 500):  # three documents have a near copy each
+        texts.append(texts[i] + " end")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    moved, save = [], jaccard_join.save
+
+    def watched(df, name):
+        if name == "links":
+            moved.append(moved_texts(df))
+        return save(df, name)
+
+    monkeypatch.setattr(jaccard_join, "save", watched)
+    monkeypatch.setattr(jaccard_join, "MARKS", marks, raising=False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    wanted = {i: i for i in range(1500)} | {1500 + i: 500 * i for i in range(3)}
+    assert got == wanted
+    # with 4 words many texts share one, so that some are moved without need
+    assert 0 < sum(moved) <= (6 if marks > 4 else 400), moved
