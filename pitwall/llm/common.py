@@ -29,12 +29,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
+def save(df: DataFrame, name: str, to: DataFrame | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (lineage is cut, and
     a lost executor costs no recomputation). The table stays for the session, unless
-    it is dropped."""
-    path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    it is dropped. With ``to``, a saved table of the same columns, the rows are added to
+    it; only the table returned here reads them all."""
+    path = to._scratch if to is not None else scratch(df.sparkSession, name)
+    df.write.mode("append" if to is not None else "error").option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out

@@ -13,7 +13,9 @@ names, halving each time: log2 of the longest document rounds. The sort is a
 range partition on (hash of the block, row), so a block that a third of all rows
 share covers many partitions and no block is sampled to the driver; inside a
 partition whole blocks are compared. ``_rid`` is the place of a row in its input split,
-stored once for all passes.
+stored once for all passes. Each round adds the documents that end in it to one stored
+table: read together at the end, all rounds' numbers would be made at once, and the
+driver's memory would follow the number of rounds.
 
 Defined results: null counts as empty, and empty texts are equal. Of rows that
 also share the largest doc_id exactly one stays (the last read). A null doc_id
@@ -60,18 +62,18 @@ def _blocker(block_bytes: int):
 
 
 def identities(rows: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per row of ``rows`` (_rid, doc_id, text): _rid, doc_id, text_sha256 and the identity
-    (_round, _name)."""
+    """One row per row of ``rows`` (_rid, doc_id, text), saved: _rid, doc_id, text_sha256 and the
+    identity (_round, _name)."""
     blocks = rows.select("_rid", "doc_id", "text").mapInArrow(_blocker(block_bytes), _BLOCKS)
     carry = ["_rid", "doc_id", "text_sha256", "_pos", "_left"]
     names = numbered(blocks, ["_block"], ["_rid", "_pos"], carry, "_name", hashed=True).withColumn("_name", F.col("_name") + 1)
-    done, level = [], 0
+    done, level = None, 0
     most = names.agg(F.max("_left")).first()[0] or 0
     while True:
         ended = names.where("_left = 1")
-        done.append(ended.select("_rid", "doc_id", "text_sha256", F.lit(level).alias("_round"), "_name"))
+        done = save(ended.select("_rid", "doc_id", "text_sha256", F.lit(level).alias("_round"), "_name"), "identities", done)
         if most <= 1:
-            break
+            return done
         # pairs of adjacent names; a document's rows spread over (row, pair)
         pairs = (
             names.where("_left > 1")
@@ -87,10 +89,6 @@ def identities(rows: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         names = numbered(pairs, ["_a", "_b"], ["_rid", "_pos"], carry, "_name")
         names = names.withColumn("_name", F.col("_name") + 1)
         most, level = (most + 1) // 2, level + 1
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionAll(d)
-    return out
 
 
 def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -102,7 +100,7 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 def exact_rows(rows: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The same for rows (_rid, doc_id, text)."""
-    ids = save(identities(rows, block_bytes), "identities")
+    ids = identities(rows, block_bytes)
     best = F.max(F.struct("doc_id", "_rid")).alias("_keep")
     groups = ids.groupBy("_round", "_name").agg(best, F.count(F.lit(1)).alias("group_size"))
     return ids.join(groups, ["_round", "_name"]).select(

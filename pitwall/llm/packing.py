@@ -82,6 +82,21 @@ def combinations(lengths: set[int], window: int, depth: int = 3) -> list[tuple[i
     return out
 
 
+def triples(lengths: set[int], window: int) -> np.ndarray:
+    """The triples among ``combinations``, as rows: hundreds of thousands of tuples would
+    stay in the driver's memory."""
+    order = np.array(sorted(lengths), np.int64)
+    there = np.zeros(window + 1, bool)
+    there[order] = True
+    out = [np.zeros((0, 3), np.int64)]
+    for i, a in enumerate(order):
+        b = order[i:]
+        b = b[window - a - b >= b]
+        b = b[there[window - a - b]]
+        out.append(np.stack([np.full(len(b), a), b, window - a - b], axis=1))
+    return np.concatenate(out)
+
+
 def nonnegative_least_squares(columns: list[tuple[int, ...]], counts: dict[int, int], x=None, sweeps: int = 30) -> list[float]:
     """x >= 0 that (nearly) minimises |A x - h|^2 by coordinate descent; column
     j of A counts each length of ``columns[j]``, h is ``counts``."""
@@ -112,23 +127,22 @@ def solve(counts: dict[int, int], window: int = WINDOW, rounds: int = 3, added:
 
     Pairs are solved first; each round then adds the triples along which the
     squared error falls fastest and solves again from there."""
-    every = combinations(set(counts), window)
-    active = [c for c in every if len(c) == 2]
-    triples = np.array([c for c in every if len(c) == 3], np.int64).reshape(-1, 3)
+    active = combinations(set(counts), window, depth=2)
+    threes = triples(set(counts), window)
     x = nonnegative_least_squares(active, counts)
-    taken = np.zeros(len(triples), bool)
-    for _ in range(rounds if len(triples) else 0):
+    taken = np.zeros(len(threes), bool)
+    for _ in range(rounds if len(threes) else 0):
         left = np.zeros(window + 1)
         for a, v in counts.items():
             left[a] = v
         for c, v in zip(active, x):
             for a in c:
                 left[a] -= v
-        gain = np.where(taken, -1.0, left[triples].sum(axis=1))
+        gain = np.where(taken, -1.0, left[threes].sum(axis=1))
         best = np.argsort(-gain, kind="stable")[:added]
         best = best[gain[best] > 1]
         taken[best] = True
-        active += [tuple(t) for t in triples[best].tolist()]
+        active += [tuple(t) for t in threes[best].tolist()]
         x = nonnegative_least_squares(active, counts, [*x, *[0.0] * len(best)])
     left, out = dict(counts), []
     for c, v in sorted(zip(active, x), key=lambda p: (-p[1], p[0])):
